@@ -7,12 +7,13 @@ copies, these are derived from all rows of ``events`` by expressions that both s
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import functions as E
-from tidewatch.durable import scratch_path
+from tidewatch.durable import durable, scratch_path
 from tidewatch.operators import aggregate as A
 from tidewatch.operators import filters, metrics, outliers, project, quality, quantiles
 from tidewatch.operators.dedup import dedup_events
@@ -49,10 +50,15 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+# Means of values with two decimals can end exactly in half of the last digit, where the order of
+# additions would decide how they round. Both sides add this before rounding to six decimals.
+TIE = "1.37e-8"
+
+
 def _r(column: Column | str, name: str | None = None) -> Column:
     """Six decimals, so that the order of additions does not show."""
     expression = F.col(column) if isinstance(column, str) else column
-    return F.round(expression, 6).alias(name or column)
+    return F.round(expression + float(TIE), 6).alias(name or column)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -148,11 +154,29 @@ def repeated_events(spark: SparkSession, folder: str) -> DataFrame:
     return later.unionByName(events)
 
 
-def landed_windows(spark: SparkSession, folder: str, length: str, name: str) -> str:
-    """Path of a window table written from all events."""
-    path = scratch_path(spark, name)
-    tables.write_windows(events_to_windows(read_events(spark, folder), length), path)
-    return path
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_windows(spark: SparkSession, folder: str) -> str:
+    """Path of the one-minute window table of all events, landed once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _LANDED:
+        path = scratch_path(spark, "windows")
+        tables.write_windows(events_to_windows(read_events(spark, folder)), path)
+        _LANDED[key] = path
+    return _LANDED[key]
+
+
+def streamed_windows(spark: SparkSession, folder: str) -> str:
+    """Path of the same table as the streaming job lands it, run once per application."""
+    key = (spark.sparkContext.applicationId, f"stream of {folder}")
+    if key not in _LANDED:
+        path = scratch_path(spark, "stream")
+        messages = project.encode_events(stream_events(spark, folder))
+        job = run_stream(messages, path, scratch_path(spark, "stream-state"), trigger=CATCH_UP)
+        job.awaitTermination()
+        _LANDED[key] = path
+    return _LANDED[key]
 
 
 def _windows_sql(unit: str, source: str = "ev", extra: str = "") -> str:
@@ -166,9 +190,9 @@ win AS (
 """
 
 
-WINDOW_OUTPUT_SQL = """
-window_start, window_end, device_type, event_count, round(avg_duration, 6) AS avg_duration, min_duration,
-max_duration, round(avg_value, 6) AS avg_value
+WINDOW_OUTPUT_SQL = f"""
+window_start, window_end, device_type, event_count, round(avg_duration + {TIE}, 6) AS avg_duration, min_duration,
+max_duration, round(avg_value + {TIE}, 6) AS avg_value
 """
 
 CALENDAR_SQL = """
@@ -195,9 +219,9 @@ WITH {EVENTS_SQL},
 stats AS (
   SELECT device_type, date, avg(event_duration) AS mu, stddev_samp(event_duration) AS sigma
   FROM ev GROUP BY device_type, date HAVING count(DISTINCT event_id) >= {GATE})
-SELECT device_type, date, round(quantile_disc(event_duration, 0.95), 6) AS p95_duration,
-       count(*) AS total_events, round(avg(event_duration), 6) AS avg_duration,
-       round(avg(mu), 6) AS mean_duration, round(avg(sigma), 6) AS stddev_duration
+SELECT device_type, date, round(quantile_disc(event_duration, 0.95) + {TIE}, 6) AS p95_duration,
+       count(*) AS total_events, round(avg(event_duration) + {TIE}, 6) AS avg_duration,
+       round(avg(mu) + {TIE}, 6) AS mean_duration, round(avg(sigma) + {TIE}, 6) AS stddev_duration
 FROM ev JOIN stats USING (device_type, date)
 WHERE sigma = 0 OR abs(event_duration - mu) <= 3 * sigma
 GROUP BY device_type, date ORDER BY date, device_type
@@ -241,16 +265,16 @@ daily AS (SELECT *, CAST(window_start AS DATE) AS date FROM win),
 stats AS (
   SELECT device_type, date, avg(avg_duration) AS mu, stddev_samp(avg_duration) AS sigma
   FROM daily GROUP BY device_type, date HAVING count(DISTINCT window_start) >= {GATE})
-SELECT device_type, date, round(quantile_disc(avg_duration, 0.95), 6) AS p95_duration,
-       count(*) AS total_events, round(avg(avg_duration), 6) AS avg_duration,
-       round(avg(mu), 6) AS mean_duration, round(avg(sigma), 6) AS stddev_duration
+SELECT device_type, date, round(quantile_disc(avg_duration, 0.95) + {TIE}, 6) AS p95_duration,
+       count(*) AS total_events, round(avg(avg_duration) + {TIE}, 6) AS avg_duration,
+       round(avg(mu) + {TIE}, 6) AS mean_duration, round(avg(sigma) + {TIE}, 6) AS stddev_duration
 FROM daily JOIN stats USING (device_type, date)
 WHERE sigma = 0 OR abs(avg_duration - mu) <= 3 * sigma
 GROUP BY device_type, date
 """)
 def q2_p95_from_windows(spark, folder):
-    path = landed_windows(spark, folder, "1 minute", "q2")
-    return _p95_output(p95_from_windows(tables.load_data(spark, path), min_events=GATE))
+    windows = durable(events_to_windows(read_events(spark, folder)))
+    return _p95_output(p95_from_windows(windows, min_events=GATE))
 
 
 @query(f"""
@@ -263,16 +287,13 @@ def q3_events_to_windows(spark, folder):
 
 
 @query(f"""
-WITH {EVENTS_SQL}, {_windows_sql('hour')}
+WITH {EVENTS_SQL}, {_windows_sql('minute')}
 SELECT {WINDOW_OUTPUT_SQL}, {CALENDAR_SQL} FROM win
 WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
 """)
 def q4_run_stream(spark, folder):
-    """The whole streaming job from messages to the landed table; the last hour is still open."""
-    messages = project.encode_events(stream_events(spark, folder))
-    path = scratch_path(spark, "q4")
-    run_stream(messages, path, scratch_path(spark, "q4-state"), "1 hour", trigger=CATCH_UP).awaitTermination()
-    return _window_output(spark.read.parquet(path), *PARTITION_COLUMNS)
+    """The whole streaming job from messages to the landed table; the last minutes are still open."""
+    return _window_output(spark.read.parquet(streamed_windows(spark, folder)), *PARTITION_COLUMNS)
 
 
 def _contract_failures_sql() -> list[tuple[str, str, str]]:
@@ -328,33 +349,31 @@ def s2_json_decode(spark, folder):
 
 @query(f"""
 WITH {EVENTS_SQL}, {_windows_sql('minute')}
-SELECT {WINDOW_OUTPUT_SQL}, {CALENDAR_SQL} FROM win
-WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
+SELECT {CALENDAR_SQL}, count(*) AS "rows", sum(event_count)::BIGINT AS events FROM win
+WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events) GROUP BY ALL
 """)
 def s3_stream_parquet_sink(spark, folder):
-    messages = project.encode_events(stream_events(spark, folder))
-    path = scratch_path(spark, "s3")
-    run_stream(messages, path, scratch_path(spark, "s3-state"), trigger=CATCH_UP).awaitTermination()
-    return _window_output(spark.read.parquet(path), *PARTITION_COLUMNS)
+    """What the sink landed in each hour partition."""
+    landed = spark.read.parquet(streamed_windows(spark, folder))
+    return landed.groupBy(*PARTITION_COLUMNS).agg(
+        F.count("*").alias("rows"), F.sum("event_count").alias("events")
+    )
 
 
 @query(f"""
-WITH {EVENTS_SQL}, {_windows_sql('hour')} SELECT {WINDOW_OUTPUT_SQL}, {CALENDAR_SQL} FROM win
+WITH {EVENTS_SQL}, {_windows_sql('minute')} SELECT {WINDOW_OUTPUT_SQL}, {CALENDAR_SQL} FROM win
 """)
 def s4_partitioned_scan(spark, folder):
-    path = landed_windows(spark, folder, "1 hour", "s4")
-    return _window_output(tables.load_data(spark, path), *PARTITION_COLUMNS)
+    return _window_output(tables.load_data(spark, landed_windows(spark, folder)), *PARTITION_COLUMNS)
 
 
 @query(f"""
-WITH {EVENTS_SQL}, {_windows_sql('hour')} SELECT {WINDOW_OUTPUT_SQL}, {CALENDAR_SQL} FROM win
+WITH {EVENTS_SQL}, {_windows_sql('minute')} SELECT {WINDOW_OUTPUT_SQL}, {CALENDAR_SQL} FROM win
 WHERE window_start >= TIMESTAMP '2024-01-10' AND window_start < TIMESTAMP '2024-01-21'
 """)
 def s5_pruned_scan(spark, folder):
-    from datetime import date
-
-    path = landed_windows(spark, folder, "1 hour", "s5")
-    table = tables.load_data(spark, path, date(2024, 1, 10), date(2024, 1, 20))
+    days = date(2024, 1, 10), date(2024, 1, 20)
+    table = tables.load_data(spark, landed_windows(spark, folder), *days)
     return _window_output(table, *PARTITION_COLUMNS)
 
 
@@ -383,8 +402,7 @@ WITH {EVENTS_SQL}, {_windows_sql('minute')}
 SELECT {CALENDAR_SQL}, count(*) AS "rows" FROM win GROUP BY ALL
 """)
 def s9_landed_audit(spark, folder):
-    path = landed_windows(spark, folder, "1 minute", "s9")
-    return tables.landed_hours(spark, path).drop("files")
+    return tables.landed_hours(spark, landed_windows(spark, folder)).drop("files")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -437,13 +455,13 @@ def p5_calendar_parts(spark, folder):
 
 @query(f"""
 WITH {EVENTS_SQL}, {_windows_sql('hour')}
-SELECT window_start, device_type, round(avg_duration, 6) AS avg_duration, event_count,
+SELECT window_start, device_type, round(avg_duration + {TIE}, 6) AS avg_duration, event_count,
        CAST(year(window_start) AS INTEGER) AS year, CAST(month(window_start) AS INTEGER) AS month,
        CAST(day(window_start) AS INTEGER) AS day, CAST(window_start AS DATE) AS date FROM win
 """)
 def p6_daily_window_rows(spark, folder):
     rows = project.daily_window_rows(events_to_windows(read_events(spark, folder), "1 hour"))
-    return rows.withColumn("avg_duration", F.round("avg_duration", 6))
+    return rows.withColumn("avg_duration", _r("avg_duration"))
 
 
 @query(f"WITH {EVENTS_SQL} SELECT event_id, status = 'critical' AS is_critical FROM ev")
@@ -460,8 +478,8 @@ def p8_duration_category(spark, folder):
 
 
 @query(f"""
-WITH {EVENTS_SQL} SELECT device_type, date, round(avg(event_duration), 6) AS mu,
-round(stddev_samp(event_duration), 6) AS sigma FROM ev GROUP BY device_type, date
+WITH {EVENTS_SQL} SELECT device_type, date, round(avg(event_duration) + {TIE}, 6) AS mu,
+round(stddev_samp(event_duration) + {TIE}, 6) AS sigma FROM ev GROUP BY device_type, date
 """)
 def p9_stats_subset(spark, folder):
     stats = A.compute_daily_statistics(_dated(spark, folder), "event_duration", "event_id")
@@ -532,7 +550,7 @@ INLIERS_SQL = f"""
 WITH {EVENTS_SQL},
 stats AS (SELECT device_type, date, avg(value) AS mu, stddev_samp(value) AS sigma FROM ev
           GROUP BY device_type, date HAVING count(*) >= {GATE})
-SELECT event_id, device_type, date, value, round(mu, 6) AS mu, round(sigma, 6) AS sigma
+SELECT event_id, device_type, date, value, round(mu + {TIE}, 6) AS mu, round(sigma + {TIE}, 6) AS sigma
 FROM ev JOIN stats USING (device_type, date) WHERE sigma = 0 OR abs(value - mu) <= 3 * sigma
 """
 
@@ -550,7 +568,7 @@ def j1_remove_outliers(spark, folder):
 @query(f"""
 WITH {EVENTS_SQL}, keyed AS (SELECT *, CASE WHEN device_type <> 'error' THEN device_type END AS k FROM ev),
 stats AS (SELECT k, avg(value) AS mu, stddev_samp(value) AS sigma FROM keyed GROUP BY k)
-SELECT event_id, keyed.k, round(mu, 6) AS mu, round(sigma, 6) AS sigma
+SELECT event_id, keyed.k, round(mu + {TIE}, 6) AS mu, round(sigma + {TIE}, 6) AS sigma
 FROM keyed JOIN stats ON keyed.k IS NOT DISTINCT FROM stats.k
 """)
 def j2_group_stats_back(spark, folder):
@@ -588,8 +606,8 @@ def a1_window_aggregates(spark, folder):
 
 @query(f"""
 WITH {EVENTS_SQL}, {_windows_sql('minute')}
-SELECT device_type, CAST(window_start AS DATE) AS date, round(avg(avg_duration), 6) AS mu,
-       round(stddev_samp(avg_duration), 6) AS sigma, count(DISTINCT window_start) AS distinct_events,
+SELECT device_type, CAST(window_start AS DATE) AS date, round(avg(avg_duration) + {TIE}, 6) AS mu,
+       round(stddev_samp(avg_duration) + {TIE}, 6) AS sigma, count(DISTINCT window_start) AS distinct_events,
        count(*) AS total_windows FROM win GROUP BY ALL
 """)
 def a2_daily_statistics(spark, folder):
@@ -601,8 +619,8 @@ def a2_daily_statistics(spark, folder):
 @query(f"""
 WITH {EVENTS_SQL}, stats AS (
   SELECT device_type, date, avg(value) AS mu, stddev_samp(value) AS sigma FROM ev GROUP BY device_type, date)
-SELECT device_type, date, round(quantile_disc(value, 0.95), 6) AS p95_duration, count(*) AS total_events,
-       round(avg(value), 6) AS avg_duration, round(avg(mu), 6) AS mean_duration, round(avg(sigma), 6) AS stddev_duration
+SELECT device_type, date, round(quantile_disc(value, 0.95) + {TIE}, 6) AS p95_duration, count(*) AS total_events,
+       round(avg(value) + {TIE}, 6) AS avg_duration, round(avg(mu) + {TIE}, 6) AS mean_duration, round(avg(sigma) + {TIE}, 6) AS stddev_duration
 FROM ev JOIN stats USING (device_type, date) GROUP BY device_type, date
 """)
 def a3_percentiles(spark, folder):
@@ -611,7 +629,7 @@ def a3_percentiles(spark, folder):
 
 
 @query(f"""
-WITH {EVENTS_SQL} SELECT device_type, round(avg(value), 6) AS mu, round(stddev_samp(value), 6) AS sigma,
+WITH {EVENTS_SQL} SELECT device_type, round(avg(value) + {TIE}, 6) AS mu, round(stddev_samp(value) + {TIE}, 6) AS sigma,
 count(*) AS "rows" FROM ev GROUP BY device_type
 """)
 def a4_group_spread(spark, folder):
@@ -620,7 +638,7 @@ def a4_group_spread(spark, folder):
 
 
 @query(f"""
-WITH {EVENTS_SQL} SELECT round(avg(value), 6) AS mu, round(stddev_samp(value), 6) AS sigma, count(*) AS "rows" FROM ev
+WITH {EVENTS_SQL} SELECT round(avg(value) + {TIE}, 6) AS mu, round(stddev_samp(value) + {TIE}, 6) AS sigma, count(*) AS "rows" FROM ev
 """)
 def a5_global_spread(spark, folder):
     return A.group_spread(read_events(spark, folder), "value", []).select(_r("mu"), _r("sigma"), "rows")
@@ -680,8 +698,8 @@ def a9_window_percentile(spark, folder):
 
 
 @query(f"""
-WITH {EVENTS_SQL} SELECT device_type, date, count(*) AS event_count, round(avg(event_duration), 6) AS avg_duration,
-min(event_duration) AS min_duration, max(event_duration) AS max_duration, round(avg(value), 6) AS avg_value
+WITH {EVENTS_SQL} SELECT device_type, date, count(*) AS event_count, round(avg(event_duration) + {TIE}, 6) AS avg_duration,
+min(event_duration) AS min_duration, max(event_duration) AS max_duration, round(avg(value) + {TIE}, 6) AS avg_value
 FROM ev GROUP BY device_type, date
 """)
 def a10_roll_up_windows(spark, folder):
@@ -875,12 +893,12 @@ def v8_contract(spark, folder):
 def _rates_sql(unit: str, seconds: int, keys: str = "") -> str:
     return f"""
 SELECT date_trunc('{unit}', ts) AS window_start, date_trunc('{unit}', ts) + INTERVAL 1 {unit} AS window_end{keys},
-       count(*) AS events, round(count(*) / {seconds}.0, 6) AS events_per_second FROM ev GROUP BY ALL
+       count(*) AS events, round(count(*) / {seconds}.0 + {TIE}, 6) AS events_per_second FROM ev GROUP BY ALL
 """
 
 
 def _rates(counted: DataFrame) -> DataFrame:
-    return counted.withColumn("events_per_second", F.round("events_per_second", 6))
+    return counted.withColumn("events_per_second", _r("events_per_second"))
 
 
 @query(f"WITH {EVENTS_SQL} {_rates_sql('hour', 3600, ', device_type, status')}")
@@ -916,8 +934,8 @@ def m4_active_devices(spark, folder):
     return metrics.active_devices(read_events(spark, folder), "1 hour")
 
 
-SIZES_SQL = """
-count(*) AS messages, round(avg(size), 6) AS mean_bytes, quantile_disc(size, 0.5) AS p50_bytes,
+SIZES_SQL = f"""
+count(*) AS messages, round(avg(size) + {TIE}, 6) AS mean_bytes, quantile_disc(size, 0.5) AS p50_bytes,
 quantile_disc(size, 0.95) AS p95_bytes
 FROM (SELECT ts, CAST(strlen(props) AS BIGINT) AS size FROM events) AS sized
 """
@@ -930,7 +948,7 @@ def _sized(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"SELECT {SIZES_SQL}")
 def m5_message_sizes(spark, folder):
-    return metrics.message_sizes(_sized(spark, folder)).withColumn("mean_bytes", F.round("mean_bytes", 6))
+    return metrics.message_sizes(_sized(spark, folder)).withColumn("mean_bytes", _r("mean_bytes"))
 
 
 @query(f"""
@@ -938,10 +956,10 @@ SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL
 {SIZES_SQL} GROUP BY ALL
 """)
 def m5_message_sizes_by_window(spark, folder):
-    return metrics.message_sizes(_sized(spark, folder), "1 hour").withColumn("mean_bytes", F.round("mean_bytes", 6))
+    return metrics.message_sizes(_sized(spark, folder), "1 hour").withColumn("mean_bytes", _r("mean_bytes"))
 
 
-@query("""
+@query(f"""
 WITH latest AS (
   SELECT CAST(event_id % 3 AS INTEGER) AS "partition", date_trunc('hour', ts) AS window_start,
          date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, max(event_id // 3) AS latest_offset
@@ -951,19 +969,19 @@ paired AS (
          window_start - lag(window_start) OVER series AS passed
   FROM latest WINDOW series AS (PARTITION BY "partition" ORDER BY window_start))
 SELECT "partition", window_start, window_end, latest_offset, offset_growth,
-       round(offset_growth / (epoch_us(window_start) - epoch_us(window_start - passed)) * 1000000.0, 6) AS offsets_per_second
+       round(offset_growth / (epoch_us(window_start) - epoch_us(window_start - passed)) * 1000000.0 + {TIE}, 6) AS offsets_per_second
 FROM paired
 """)
 def m6_partition_offsets(spark, folder):
     messages = as_messages(read_events(spark, folder))
     return metrics.partition_offsets(messages, "1 hour").withColumn(
-        "offsets_per_second", F.round("offsets_per_second", 6)
+        "offsets_per_second", _r("offsets_per_second")
     )
 
 
 def _gaps_sql(seconds: int) -> str:
     return f"""
-SELECT device_type, gap_start, gap_end, round(gap_seconds, 6) AS gap_seconds FROM (
+SELECT device_type, gap_start, gap_end, round(gap_seconds + {TIE}, 6) AS gap_seconds FROM (
   SELECT event_type AS device_type, lag(ts) OVER series AS gap_start, ts AS gap_end,
          (epoch_us(ts) - epoch_us(lag(ts) OVER series)) / 1000000.0 AS gap_seconds
   FROM events WINDOW series AS (PARTITION BY event_type ORDER BY ts)) AS paired
@@ -973,24 +991,24 @@ WHERE gap_seconds > {seconds}
 
 @query(_gaps_sql(300))
 def m7_silence_gaps(spark, folder):
-    return metrics.silence_gaps(read_events(spark, folder), 300).withColumn("gap_seconds", F.round("gap_seconds", 6))
+    return metrics.silence_gaps(read_events(spark, folder), 300).withColumn("gap_seconds", _r("gap_seconds"))
 
 
 @query(_gaps_sql(1800))
 def m7_long_silence_gaps(spark, folder):
-    return metrics.silence_gaps(read_events(spark, folder), 1800).withColumn("gap_seconds", F.round("gap_seconds", 6))
+    return metrics.silence_gaps(read_events(spark, folder), 1800).withColumn("gap_seconds", _r("gap_seconds"))
 
 
 @query(f"""
 WITH {FAULTY_SQL}
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
        count(*) FILTER (WHERE {REASONS_SQL} <> '') AS rejected, count(*) AS events,
-       round(count(*) FILTER (WHERE {REASONS_SQL} <> '') / count(*), 6) AS error_rate
+       round(count(*) FILTER (WHERE {REASONS_SQL} <> '') / count(*) + {TIE}, 6) AS error_rate
 FROM faulty GROUP BY ALL
 """)
 def m8_error_rates(spark, folder):
     rates = metrics.error_rates(faulty_events(spark, folder), quality.contract_rules(), "1 hour")
-    return rates.withColumn("error_rate", F.round("error_rate", 6))
+    return rates.withColumn("error_rate", _r("error_rate"))
 
 
 @query(f"""
@@ -999,4 +1017,4 @@ SELECT {CALENDAR_SQL}, count(*) AS "rows", CAST(1 AS BIGINT) AS files FROM win G
 """)
 def m10_landed_files(spark, folder):
     """At this size the writer puts each hour into one file."""
-    return tables.landed_hours(spark, landed_windows(spark, folder, "1 minute", "m10"))
+    return tables.landed_hours(spark, landed_windows(spark, folder))

@@ -35,9 +35,9 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_events(spark: SparkSession, folder: str, **options: str) -> DataFrame:
     """The same table as a stream; watermarks want an instant, so the time becomes one."""
-    path = f"{folder}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    table = spark.readStream.schema(schema).options(**options).parquet(path)
+    schema = spark.read.parquet(f"{folder}/events.parquet").schema
+    # As a pattern, the path may be one file or a folder of files; a plain path must be a folder.
+    table = spark.readStream.schema(schema).options(**options).parquet(f"{folder}/events.parque[t]")
     return contract_events(table.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
