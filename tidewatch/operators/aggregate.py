@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.durable import durable
 from tidewatch.functions import numeric, sample_mean, sample_sigma
-from tidewatch.operators.joins import keyed_join
+from tidewatch.operators.joins import Sized, keyed_join
 from tidewatch.schema import (
     GROUP_KEYS,
     MIN_DAILY_EVENTS,
@@ -71,14 +71,17 @@ def qualified_spread(
     min_events: int = MIN_DAILY_EVENTS,
     keys: Sequence[str] = GROUP_KEYS,
     proof_divisor: int = PROOF_DIVISOR,
-) -> DataFrame:
-    """mu, sigma and rows of every group, and whether it has ``min_events`` distinct ids.
+) -> Sized:
+    """mu, sigma and rows of every group, and whether it is ``qualified`` by ``min_events`` ids.
 
     The gate only asks whether a count reaches a bound, so shuffling every id is wasteful. The
     distinct ids that fall in one of ``proof_divisor`` hash classes are a lower bound of all
     distinct ids: a group that reaches ``min_events`` with them alone has proven itself, and a
     group with fewer rows than that cannot qualify. All ids are counted exactly for the groups
     that are still open, which are those with few ids. The result is exact for any divisor.
+
+    The recount of open groups is lazy when the result may be broadcast; make the result durable
+    before using it more than once.
     """
     keys = list(keys)
     x, identifier = F.col(value), F.col(distinct)
@@ -91,27 +94,30 @@ def qualified_spread(
             F.count_distinct(F.when(in_class, identifier)).alias("proven"),
         )
     )
+    sized = Sized.of(spread)
     measures = [*keys, "mu", "sigma", "rows"]
     is_proven = F.col("proven") >= min_events
     open_groups = spread.filter((F.col("rows") >= min_events) & ~is_proven).select(*keys)
     if open_groups.isEmpty():
-        return spread.select(*measures, is_proven.alias("qualified"))
-    counted = (
+        return sized.part(spread.select(*measures, is_proven.alias("qualified")))
+    passed = (
         keyed_join(
-            df.select(*keys, distinct), open_groups, keys, null_safe=True,
+            df.select(*keys, distinct), sized.part(open_groups), keys, null_safe=True,
             weights=spread.select(*keys, "rows"),
         )
         .groupBy(*keys)
         .agg(F.count_distinct(distinct).alias("distinct_events"))
+        .filter(F.col("distinct_events") >= min_events)
+        .select(*keys, F.lit(True).alias("__passed"))
     )
-    passed = durable(counted.filter(F.col("distinct_events") >= min_events).select(*keys))
+    if not sized.fits:
+        passed = durable(passed)
     decided = keyed_join(
-        spread, passed.withColumn("__passed", F.lit(True)), keys, how="left", null_safe=True,
+        spread, sized.part(passed), keys, how="left", null_safe=True,
         weights=spread.select(*keys, F.lit(1).alias("rows")),
     )
-    return decided.select(
-        *measures, (is_proven | F.coalesce(F.col("__passed"), F.lit(False))).alias("qualified")
-    )
+    qualified = is_proven | F.coalesce(F.col("__passed"), F.lit(False))
+    return sized.part(decided.select(*measures, qualified.alias("qualified")))
 
 
 def compute_percentiles(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -36,9 +37,25 @@ def fits_broadcast(df: DataFrame) -> bool:
     return limit > 0 and measured_bytes(df) <= limit
 
 
+@dataclass(frozen=True)
+class Sized:
+    """A keyed side with the verdict of its measurement: whether it may be broadcast."""
+
+    frame: DataFrame
+    fits: bool
+
+    @classmethod
+    def of(cls, frame: DataFrame) -> Sized:
+        return cls(frame, fits_broadcast(frame))
+
+    def part(self, frame: DataFrame) -> Sized:
+        """``frame``, made of rows and columns of this side, under the same verdict."""
+        return Sized(frame, self.fits)
+
+
 def keyed_join(
     fact: DataFrame,
-    side: DataFrame,
+    side: DataFrame | Sized,
     keys: Sequence[str],
     how: str = "inner",
     null_safe: bool = False,
@@ -46,14 +63,16 @@ def keyed_join(
 ) -> DataFrame:
     """Join ``fact`` with ``side``, which has one row (or a fixed few rows) per key.
 
-    ``side`` is read more than once, so pass a table or a :func:`~tidewatch.durable.durable`
-    result. If its measured size is within the session's broadcast threshold, it is broadcast and
+    An unmeasured ``side`` is read more than once, so pass a table or a
+    :func:`~tidewatch.durable.durable` result. If its measured size is within the session's broadcast threshold, it is broadcast and
     ``fact`` is not shuffled. Otherwise the hot keys are joined by broadcast (there are at most
     ``HOT_SHARE`` of them, whatever the data) and only the rows of the other keys are shuffled.
     ``weights`` may give rows per key as (keys, rows); without it they are counted when needed.
     """
     keys = list(keys)
-    if fits_broadcast(side):
+    sized = side if isinstance(side, Sized) else Sized.of(side)
+    side = sized.frame
+    if sized.fits:
         return _join(fact, F.broadcast(side), keys, how, null_safe)
     hot = _hot_keys(fact, keys, weights)
     hot_fact = _join(fact, F.broadcast(hot), keys, "left_semi", True)

@@ -15,7 +15,7 @@ from tidewatch.durable import durable
 from tidewatch.functions import beyond_sigma
 from tidewatch.operators.aggregate import group_spread
 from tidewatch.operators.filters import keep_inliers
-from tidewatch.operators.joins import keyed_join
+from tidewatch.operators.joins import Sized, keyed_join
 from tidewatch.operators.quantiles import quantiles
 from tidewatch.schema import GROUP_KEYS, SIGMA_LIMIT
 
@@ -78,7 +78,7 @@ def detect_outliers_percentile(
 
 def remove_outliers(
     df: DataFrame,
-    stats: DataFrame,
+    stats: DataFrame | Sized,
     value: str = "avg_duration",
     keys: Sequence[str] = GROUP_KEYS,
     k: float = SIGMA_LIMIT,
@@ -86,9 +86,10 @@ def remove_outliers(
 ) -> DataFrame:
     """Rows of the groups in ``stats`` that lie within ``k`` sigma, with their mu and sigma.
 
-    ``stats`` is read more than once; pass a durable frame when it is costly to compute.
+    Unmeasured ``stats`` are read more than once; pass a durable frame when they are costly.
     """
-    side = stats.select(*keys, "mu", "sigma")
+    columns = [*keys, "mu", "sigma"]
+    side = stats.part(stats.frame.select(*columns)) if isinstance(stats, Sized) else stats.select(*columns)
     return keep_inliers(keyed_join(df, side, keys, weights=weights), value, k)
 
 

@@ -14,12 +14,22 @@ from tidewatch.schema import WIRE_SCHEMA
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
+def computed_once(column: Column) -> Column:
+    """``column`` behind a one-element explode, so that it is computed once per row.
+
+    Catalyst moves a filter below the projection it reads from by repeating the projected
+    expression, which for a parsed payload means parsing it once per condition. It does not do
+    so across a generator.
+    """
+    return F.explode(F.array(column))
+
+
 def decode_messages(
     messages: DataFrame, schema: T.StructType = WIRE_SCHEMA, payload: str = "value"
 ) -> DataFrame:
     """JSON payloads to the columns of ``schema``; malformed text gives a row of NULLs."""
     decoded = F.from_json(F.col(payload).cast("string"), schema)
-    return messages.select(decoded.alias("data")).select("data.*")
+    return messages.select(computed_once(decoded).alias("data")).select("data.*")
 
 
 def decode_events(messages: DataFrame, payload: str = "value") -> DataFrame:

@@ -14,7 +14,7 @@ from tidewatch.operators.aggregate import (
     qualified_spread,
 )
 from tidewatch.operators.filters import filter_qualified_devices
-from tidewatch.operators.joins import keyed_join
+from tidewatch.operators.joins import Sized, keyed_join
 from tidewatch.operators.outliers import remove_outliers
 from tidewatch.operators.project import daily_window_rows
 from tidewatch.operators.quantiles import exact_quantiles
@@ -47,23 +47,24 @@ def p95_from_events(
     """
     rows = daily_durations(events)
     spread = qualified_spread(rows, "event_duration", "event_id", min_events)
-    return _percentiles(rows, spread, k, q, exact)
+    if exact:
+        return _exact_percentiles(rows, spread, k, q)
+    return compute_percentiles(_inliers(rows, spread, k), "event_duration", q)
 
 
-def _percentiles(rows: DataFrame, spread: DataFrame, k: float, q: float, exact: bool) -> DataFrame:
+def _exact_percentiles(rows: DataFrame, spread: Sized, k: float, q: float) -> DataFrame:
+    spread = spread.part(durable(spread.frame))
     clean = _inliers(rows, spread, k)
-    if not exact:
-        return compute_percentiles(clean, "event_duration", q)
-    measures = durable(
-        clean.groupBy(*GROUP_KEYS).agg(
-            F.count("*").alias("total_events"),
-            F.avg("event_duration").alias("avg_duration"),
-            F.avg("mu").alias("mean_duration"),
-            F.avg("sigma").alias("stddev_duration"),
-        )
+    measures = clean.groupBy(*GROUP_KEYS).agg(
+        F.count("*").alias("total_events"),
+        F.avg("event_duration").alias("avg_duration"),
+        F.avg("mu").alias("mean_duration"),
+        F.avg("sigma").alias("stddev_duration"),
     )
-    p95 = durable(exact_quantiles(clean, "event_duration", {"p95_duration": q}, GROUP_KEYS))
-    joined = keyed_join(measures, p95, GROUP_KEYS, weights=_one_row_per_key(measures))
+    p95 = exact_quantiles(clean, "event_duration", {"p95_duration": q}, GROUP_KEYS)
+    if not spread.fits:
+        measures, p95 = durable(measures), durable(p95)
+    joined = keyed_join(measures, spread.part(p95), GROUP_KEYS, weights=_one_row_per_key(measures))
     return order_by_day(
         joined.select(
             *GROUP_KEYS, "p95_duration", "total_events", "avg_duration", "mean_duration", "stddev_duration"
@@ -71,9 +72,9 @@ def _percentiles(rows: DataFrame, spread: DataFrame, k: float, q: float, exact:
     )
 
 
-def _inliers(rows: DataFrame, spread: DataFrame, k: float) -> DataFrame:
-    stats = spread.filter("qualified")
-    weights = spread.select(*GROUP_KEYS, "rows")
+def _inliers(rows: DataFrame, spread: Sized, k: float) -> DataFrame:
+    stats = spread.part(spread.frame.filter("qualified"))
+    weights = spread.frame.select(*GROUP_KEYS, "rows")
     columns = rows.select(*GROUP_KEYS, "event_duration")
     return remove_outliers(columns, stats, "event_duration", k=k, weights=weights)
 
@@ -91,9 +92,13 @@ def removal_report(
     """
     rows = daily_durations(events)
     spread = qualified_spread(rows, "event_duration", "event_id", min_events)
-    kept = durable(_inliers(rows, spread, k).groupBy(*GROUP_KEYS).agg(F.count("*").alias("kept")))
+    groups = durable(spread.frame)
+    spread = spread.part(groups)
+    kept = _inliers(rows, spread, k).groupBy(*GROUP_KEYS).agg(F.count("*").alias("kept"))
+    if not spread.fits:
+        kept = durable(kept)
     joined = keyed_join(
-        spread, kept, GROUP_KEYS, how="left", null_safe=True, weights=_one_row_per_key(spread)
+        groups, spread.part(kept), GROUP_KEYS, how="left", null_safe=True, weights=_one_row_per_key(groups)
     )
     kept_rows = F.coalesce("kept", F.lit(0).cast("bigint"))
     return joined.select(

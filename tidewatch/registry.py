@@ -116,7 +116,7 @@ def faulty_events(spark: SparkSession, folder: str) -> DataFrame:
     device_type = F.col("event_type")
     for source, target in names.items():
         device_type = F.when(F.col("event_type") == source, target).otherwise(device_type)
-    return table.select(
+    row = F.struct(
         F.when(value.between(20, 22), F.col("event_id").cast("string"))
         .when(value.between(22, 24), F.concat(F.lit("{"), identifier, F.lit("}")))
         .when(value.between(24, 26), F.concat(F.lit("urn:uuid:"), identifier))
@@ -140,6 +140,7 @@ def faulty_events(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("metadata"),
         F.col("event_id").alias("event_number"),
     )
+    return table.select(project.computed_once(row).alias("row")).select("row.*")
 
 
 def repeated_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -560,7 +561,8 @@ def j1_remove_outliers(spark, folder):
     events = _dated(spark, folder)
     spread = A.qualified_spread(events, "value", "event_id", GATE)
     clean = outliers.remove_outliers(
-        events, spread.filter("qualified"), "value", weights=spread.select("device_type", "date", "rows")
+        events, spread.part(spread.frame.filter("qualified")), "value",
+        weights=spread.frame.select("device_type", "date", "rows"),
     )
     return clean.select("event_id", "device_type", "date", "value", _r("mu"), _r("sigma"))
 

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Percentile sketches stay in hash tables for more groups before falling back to sorting.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # Methods beyond 8000 bytes of bytecode are never compiled by the JVM; a long list of rules is
+    # faster as several smaller methods.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Large keyed state belongs on disk, with only changes uploaded per batch.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
