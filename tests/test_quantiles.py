@@ -35,21 +35,21 @@ def shapes():
 
 
 @pytest.mark.parametrize("name", ["long tail", "few values", "infinite"])
-@pytest.mark.parametrize("limit", [10, 10**6], ids=["narrowed", "direct"])
-def test_exact_global(spark, name, limit):
+@pytest.mark.parametrize("direct", [0, 10**6], ids=["narrowed", "direct"])
+def test_exact_global(spark, name, direct):
     values = dict(shapes())[name]
     df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
-    row = Q.exact_quantiles(df, "x", WANTED, max_bucket_rows=limit, buckets=16).first()
+    row = Q.exact_quantiles(df, "x", WANTED, direct_rows=direct, max_bucket_rows=10, buckets=16).first()
     assert row.asDict() == {n: brute(values, p) for n, p in WANTED.items()}
 
 
-@pytest.mark.parametrize("limit", [10, 10**6], ids=["narrowed", "direct"])
-def test_exact_by_group(spark, limit):
+@pytest.mark.parametrize("direct", [0, 10**6], ids=["narrowed", "direct"])
+def test_exact_by_group(spark, direct):
     groups = dict(shapes())
     groups[None] = [float(i) for i in range(100)]
     rows = [(k, v) for k, values in groups.items() for v in values]
     df = spark.createDataFrame(rows, "k string, x double").repartition(4)
-    result = Q.exact_quantiles(df, "x", WANTED, ["k"], max_bucket_rows=limit, buckets=16)
+    result = Q.exact_quantiles(df, "x", WANTED, ["k"], direct_rows=direct, max_bucket_rows=10, buckets=16)
     got = {r["k"]: {n: r[n] for n in WANTED} for r in result.collect()}
     assert got == {k: {n: brute(v, p) for n, p in WANTED.items()} for k, v in groups.items()}
 
@@ -58,7 +58,7 @@ def test_exact_by_group_without_broadcast(no_broadcast):
     rng = random.Random(3)
     rows = [("hot" if rng.random() < 0.4 else f"k{rng.randrange(50)}", rng.gauss(0, 1)) for _ in range(4000)]
     df = no_broadcast.createDataFrame(rows, "k string, x double")
-    got = {r["k"]: r["p95"] for r in Q.exact_quantiles(df, "x", {"p95": 0.95}, ["k"], 10, 16).collect()}
+    got = {r["k"]: r["p95"] for r in Q.exact_quantiles(df, "x", {"p95": 0.95}, ["k"], 0, 10, 16).collect()}
     assert got == {k: brute([x for g, x in rows if g == k], 0.95) for k in {g for g, _ in rows}}
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,15 +21,14 @@ def dedup_events(
 
     A stream forgets an identifier once the watermark has passed its time by ``delay``, so its
     state is bounded. A batch keeps the earliest copy; equally early copies are ordered by their
-    other columns, so a rerun keeps the same row. Copies collapse before the shuffle.
+    other columns, so a rerun keeps the same row. Spark applies the first-per-key limit before
+    the shuffle too, so the copies of one identifier never meet in one task.
     """
     if events.isStreaming:
         return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
-    rest = [c for c in events.columns if c not in keys]
-    orderable = [c for c in rest if c != time and not isinstance(events.schema[c].dataType, T.MapType)]
-    earliest = F.min_by(F.struct(*rest), F.struct(time, *orderable))
-    return (
-        events.groupBy(*keys)
-        .agg(earliest.alias("__kept"))
-        .select(*[F.col(c) if c in keys else F.col(f"__kept.{c}").alias(c) for c in events.columns])
-    )
+    ties = [
+        c for c in events.columns
+        if c not in keys and c != time and not isinstance(events.schema[c].dataType, T.MapType)
+    ]
+    copies = Window.partitionBy(*keys).orderBy(time, *ties)
+    return events.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").drop("__copy")

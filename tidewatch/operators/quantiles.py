@@ -18,9 +18,12 @@ from tidewatch.durable import durable
 from tidewatch.functions import discrete_rank, numeric
 from tidewatch.operators.joins import keyed_join
 
-BUCKETS = 4096
-MAX_BUCKET_ROWS = 1_000_000
-MAX_ROUNDS = 6
+# Fewer rows than this are ordered right away; beyond it the buckets pay for their extra scans.
+DIRECT_ROWS = 2_000_000
+BUCKETS = 1024
+# A bucket this small is cheaper to order than to narrow once more.
+MAX_BUCKET_ROWS = 16_384
+MAX_ROUNDS = 8
 
 
 def quantiles(
@@ -51,6 +54,7 @@ def exact_quantiles(
     column: str,
     probabilities: Mapping[str, float],
     group_by: Sequence[str] = (),
+    direct_rows: int = DIRECT_ROWS,
     max_bucket_rows: int = MAX_BUCKET_ROWS,
     buckets: int = BUCKETS,
 ) -> DataFrame:
@@ -62,8 +66,7 @@ def exact_quantiles(
             F.count("*").alias("rows"), F.min("__x").alias("lo"), F.max("__x").alias("hi")
         )
     )
-    largest = bounds.agg(F.max("rows").alias("rows")).first()["rows"] or 0
-    if largest <= max_bucket_rows:
+    if (bounds.agg(F.sum("rows").alias("rows")).first()["rows"] or 0) <= direct_rows:
         counts = data.groupBy(*keys, "__x").agg(F.count("*").alias("rows"))
         return quantiles_of_counts(counts, "__x", "rows", probabilities, keys)
 
@@ -78,12 +81,12 @@ def exact_quantiles(
         "lo", "hi", "rows",
     ).select(*keys, "__target.slot", "__target.rank", "lo", "hi", "rows")
     targets = durable(targets)
+    large = (F.col("lo") < F.col("hi")) & (F.col("rows") > max_bucket_rows)
     for round_number in range(MAX_ROUNDS):
-        wide = F.col("lo") < F.col("hi")
-        if (targets.filter(wide).agg(F.max("rows").alias("rows")).first()["rows"] or 0) <= max_bucket_rows:
+        if targets.filter(large).isEmpty():
             break
-        narrowed = _narrow(data, targets.filter(wide), keys, bounds, buckets, log_scale=round_number == 0)
-        targets = durable(targets.filter(~wide).unionByName(narrowed))
+        narrowed = _narrow(data, targets.filter(large), keys, bounds, buckets, log_scale=round_number == 0)
+        targets = durable(targets.filter(~large).unionByName(narrowed))
 
     open_targets = targets.filter(F.col("lo") < F.col("hi"))
     inside = _inside(data, open_targets, keys, bounds)
