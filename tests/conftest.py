@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
         "tidewatch-tests",
         master="local[4]",
         options={
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),

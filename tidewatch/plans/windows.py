@@ -18,9 +18,11 @@ def events_to_windows(
 ) -> DataFrame:
     """Valid events, once each, aggregated per window and device type, with partition columns.
 
-    Invalid rows go first, so that an invalid copy cannot displace a valid one.
+    Invalid rows go first, so that an invalid copy cannot displace a valid one. Only the columns
+    of the result take part in the deduplication, which keeps its shuffle narrow.
     """
-    once = dedup_events(drop_invalid_events(events), delay=delay)
+    valid = drop_invalid_events(events).select("event_id", "device_type", "timestamp", "event_duration", "value")
+    once = dedup_events(valid, delay=delay)
     return unpack_window(window_aggregates(once, length)).select(
         "*", F.current_timestamp().alias("processing_time"), *E.calendar_parts(F.col("window_start"))
     )
