@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from tests.conftest import CHECK_FOLDER, plan_of, rows_of
-from tidewatch import durable as D
+from tidewatch import shared as D
 from tidewatch.plans.windows import events_to_windows
 from tidewatch.sources import tables
 from tidewatch.sources.events_table import contract_events, read_events

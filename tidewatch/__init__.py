@@ -1,6 +1,6 @@
 """Event analytics on Spark: the public API in one place."""
 
-from tidewatch.durable import durable, scratch_path, shared_folder
+from tidewatch.shared import durable, scratch_path, shared_folder
 from tidewatch.operators.aggregate import (
     compute_daily_statistics,
     compute_percentiles,

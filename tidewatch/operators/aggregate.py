@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.durable import durable
+from tidewatch.shared import durable
 from tidewatch.functions import numeric, sample_mean, sample_sigma
 from tidewatch.operators.joins import Sized, keyed_join
 from tidewatch.schema import (

@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.durable import durable
+from tidewatch.shared import durable
 
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so at most HOT_SHARE keys are.
 HOT_SHARE = 1000
@@ -64,7 +64,7 @@ def keyed_join(
     """Join ``fact`` with ``side``, which has one row (or a fixed few rows) per key.
 
     An unmeasured ``side`` is read more than once, so pass a table or a
-    :func:`~tidewatch.durable.durable` result. If its measured size is within the session's broadcast threshold, it is broadcast and
+    :func:`~tidewatch.shared.durable` result. If its measured size is within the session's broadcast threshold, it is broadcast and
     ``fact`` is not shuffled. Otherwise the hot keys are joined by broadcast (there are at most
     ``HOT_SHARE`` of them, whatever the data) and only the rows of the other keys are shuffled.
     ``weights`` may give rows per key as (keys, rows); without it they are counted when needed.

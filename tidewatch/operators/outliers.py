@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.durable import durable
+from tidewatch.shared import durable
 from tidewatch.functions import beyond_sigma
 from tidewatch.operators.aggregate import group_spread
 from tidewatch.operators.filters import keep_inliers

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewatch.durable import durable
+from tidewatch.shared import durable
 from tidewatch.functions import discrete_rank, numeric
 from tidewatch.operators.joins import keyed_join
 

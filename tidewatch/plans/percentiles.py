@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.durable import durable
+from tidewatch.shared import durable
 from tidewatch.functions import event_date, numeric
 from tidewatch.operators.aggregate import (
     compute_daily_statistics,

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch import functions as E
-from tidewatch.durable import durable, scratch_path
+from tidewatch.shared import durable, scratch_path
 from tidewatch.operators import aggregate as A
 from tidewatch.operators import filters, metrics, outliers, project, quality, quantiles
 from tidewatch.operators.dedup import dedup_events
