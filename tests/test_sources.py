@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import glob
 from datetime import date
+from types import SimpleNamespace
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import CHECK_FOLDER, plan_of, rows_of
@@ -74,6 +76,13 @@ def test_intermediate_results_live_in_the_shared_folder(spark):
     assert len(glob.glob(f"{folder}/**/rdd-*", recursive=True)) == before + 1
 
 
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    context = SimpleNamespace(master="spark://master:7077", getCheckpointDir=lambda: None)
+    cluster = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: default))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        D.shared_folder(cluster)
+
+
 def test_reading_events_keeps_the_contract(spark):
     from tidewatch.schema import EVENT_SCHEMA
 
