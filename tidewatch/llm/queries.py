@@ -6,10 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewatch.llm.common import table
+from tidewatch.llm.line_dedup import dedup_lines
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.token_file import document_digests, read_token_file, write_token_file
+from tidewatch.llm.topk import top_k
 from tidewatch.shared import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -28,6 +31,47 @@ def query(sql: str | None = None):
     return register
 
 
+@query("""
+WITH valid AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+asked AS (SELECT vec_id, min(v) AS v FROM valid WHERE vec_id % 100 = 0 GROUP BY vec_id),
+scored AS (
+  SELECT a.vec_id AS query_id, c.vec_id, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM asked a JOIN valid c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v))
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM scored)
+WHERE rank <= 10
+""")
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+@query("""
+WITH lines AS (
+  SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
+repeated AS (
+  SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (
+  SELECT doc_id, i, line, keeper IS NOT NULL AND doc_id <> keeper AS lost
+  FROM lines LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+""")
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return dedup_lines(docs, least_length=40, least_documents=5).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 @query()
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), TOKENIZER, end_id=2, size=4096)
