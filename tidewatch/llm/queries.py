@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import table
 from tidewatch.llm.line_dedup import dedup_lines
+from tidewatch.llm.mixing import mix_sources
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.token_file import document_digests, read_token_file, write_token_file
 from tidewatch.llm.topk import top_k
@@ -82,3 +83,60 @@ def op8_token_file(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
     write_token_file(table(spark, folder, "documents"), path, TOKENIZER, end_id=1)
     return document_digests(read_token_file(spark, path))
+
+
+@query(r"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS key FROM documents),
+sources AS (
+  SELECT *, (CASE (position - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END) AS weight FROM (
+    SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS position
+    FROM sized GROUP BY source)),
+ratios AS (
+  SELECT *, 2 * source_size AS cap, (2 * source_size)::DOUBLE / weight AS ratio, sum(source_size) OVER () AS total,
+    sum(weight) OVER () AS weights FROM sources),
+levels AS (
+  SELECT *, (1.5::DOUBLE * total - coalesce(sum(cap) OVER before, 0)) / (weights - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM ratios WINDOW before AS (ORDER BY ratio, position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (
+  SELECT l.*, least(cap::DOUBLE, weight * c.level) AS target
+  FROM levels l, (SELECT level FROM levels WHERE ratio >= level ORDER BY ratio, position LIMIT 1) c),
+source_quotients AS (
+  SELECT position, target / (2 * n + 1) AS quotient, n
+  FROM (SELECT position, target, unnest(range(0, (target / 16)::BIGINT + 40)) AS n FROM targets)),
+source_quotas AS (
+  SELECT position, count(*) AS quota FROM (
+    SELECT position, row_number() OVER (ORDER BY quotient DESC, position, n) AS r FROM source_quotients)
+  WHERE r <= (SELECT floor(1.5::DOUBLE * any_value(total) / 16 + 0.5) FROM targets) GROUP BY position),
+dealt AS (
+  SELECT s.*, t.position, t.source_size, t.target, ('0x' || substr(key, 1, 8))::BIGINT
+    % greatest(1, ceil(t.source_size::DOUBLE / greatest(4096, ceil(t.total::DOUBLE / 4096)))::BIGINT) AS cell
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+cells AS (SELECT position, cell, sum(size)::BIGINT AS cell_size FROM dealt GROUP BY ALL),
+cell_quotients AS (
+  SELECT position, cell, cell_size::DOUBLE / (2 * n + 1) AS quotient, n
+  FROM (SELECT position, cell, cell_size, unnest(range(0, cell_size // 8 + 40)) AS n FROM cells)),
+cell_quotas AS (
+  SELECT position, cell, count(*) AS quota FROM (
+    SELECT position, cell, row_number() OVER (PARTITION BY position ORDER BY quotient DESC, cell, n) AS r FROM cell_quotients)
+  JOIN (SELECT position, quota AS source_quota FROM source_quotas) USING (position)
+  WHERE r <= source_quota GROUP BY position, cell),
+runs AS (
+  SELECT position, cell, cell_size, w // cell_size AS copies, w % cell_size AS run,
+    ('0x' || substr(md5('mix:' || position || ':' || cell), 1, 8))::BIGINT % cell_size AS begin_at
+  FROM (SELECT *, least(16 * coalesce(quota, 0), 2 * cell_size) AS w FROM cells LEFT JOIN cell_quotas USING (position, cell))
+  WHERE cell_size > 0),
+placed AS (
+  SELECT d.*, copies, run, begin_at, cell_size,
+    (sum(size) OVER (PARTITION BY position, cell ORDER BY substr(key, 9, 24), doc_id, size
+      ROWS UNBOUNDED PRECEDING))::BIGINT AS end_at
+  FROM dealt d LEFT JOIN runs USING (position, cell))
+SELECT doc_id, size, source_size, target, coalesce(copies * size
+    + greatest(least(end_at, begin_at + run) - greatest(begin_at, end_at - size), 0)
+    + greatest(least(end_at, begin_at + run - cell_size) - (end_at - size), 0), 0)::BIGINT AS taken
+FROM placed
+""")
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mix_sources(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, limit=2)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
