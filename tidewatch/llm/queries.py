@@ -12,6 +12,7 @@ from tidewatch.llm.common import table
 from tidewatch.llm.line_dedup import dedup_lines
 from tidewatch.llm.mixing import mix_sources
 from tidewatch.llm.packing import pack_documents
+from tidewatch.llm.simhash import near_duplicates
 from tidewatch.llm.token_file import document_digests, read_token_file, write_token_file
 from tidewatch.llm.topk import top_k
 from tidewatch.shared import scratch_path
@@ -140,3 +141,8 @@ FROM placed
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix_sources(table(spark, folder, "documents"), weights=(3, 1, 2), share=1.5, limit=2)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query()
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"), words=3, radius=2)
