@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# A word of letters that have one form each in Unicode, with one mark after it at most.
+LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]?)")
+TAILS = ",.;:!?"
+
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
 
@@ -27,13 +33,23 @@ class WordEncoder:
     which changes the time only.
     """
 
-    def __init__(self, path: str, known_words: int = 400_000):
+    def __init__(self, path: str, known_words: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known_words = known_words
         self.known: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            suffix = json.load(file)["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.ends_word[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        # Whether letters are folded to lower case and stand apart from punctuation, tried once.
+        self.letters_apart = bool(suffix) and all(
+            self._library(["Né" + tail])[0] == b"".join(self._library(["né", tail])) for tail in TAILS
+        )
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in the order of the texts, and the number of ids of every text (null: none)."""
@@ -50,17 +66,55 @@ class WordEncoder:
         return flat[ragged(starts[codes], per_word)], np.diff(before[bounds])
 
     def _lookup(self, words: list[str]) -> list[bytes]:
-        known = self.known
-        new = [word for word in words if word not in known]
-        if new and len(known) + len(new) > self.known_words:
-            kept = [word for word in words if word in known]
-            known = self.known = {word: known[word] for word in kept}
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for word, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[word] = np.array(code.ids, dtype="<u4").tobytes()
+        found = list(map(self.known.get, words))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(missing, self._learn([words[i] for i in missing])):
+            found[i] = ids
+        return found
+
+    def _learn(self, words: list[str]) -> list[bytes]:
+        if len(self.known) + len(words) > self.known_words:
+            self.known = {}
+        known, plain, other, parts = self.known, {}, [], []
+        for word in words:
+            match = LETTERS.fullmatch(word) if self.letters_apart else None
+            if match is None:
+                other.append(word)
+                parts.append(None)
+            else:
+                base, tail = match[1].lower(), match[2]
+                if base not in known:
+                    plain[base] = None
+                if tail and tail not in known:
+                    known[tail] = self._library([tail])[0]
+                parts.append((base, tail))
+        known.update(zip(plain, self._plain(list(plain))))
+        known.update(zip(other, self._library(other)))
+        for word, part in zip(words, parts):
+            if part is not None and (part[1] or part[0] != word):
+                known[word] = known[part[0]] + known[part[1]] if part[1] else known[part[0]]
         return [known[word] for word in words]
 
+    def _library(self, words: list[str]) -> list[bytes]:
+        coded = []
+        for start in range(0, len(words), 4096):
+            coded += self.tokenizer.encode_batch_fast(words[start : start + 4096], add_special_tokens=False)
+        return [np.array(code.ids, dtype="<u4").tobytes() for code in coded]
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, encoded as one text and cut after the tokens that end a word."""
+        out: list[bytes] = []
+        for start in range(0, len(words), 1024):
+            part = words[start : start + 1024]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
+            ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+            if len(ends) == len(part) and ends[-1] == 4 * len(ids):
+                data = ids.tobytes()
+                out += [data[begin:end] for begin, end in zip([0, *ends], ends)]
+            else:
+                out += self._library(part)
+        return out
+
 
 def encoder(path: str) -> WordEncoder:
     """One encoder per tokenizer file and worker process."""
