@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import table
+from tidewatch.llm.fingerprint import compare_neighbours
 from tidewatch.llm.line_dedup import dedup_lines
 from tidewatch.llm.mixing import mix_sources
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.simhash import near_duplicates
 from tidewatch.llm.token_file import document_digests, read_token_file, write_token_file
 from tidewatch.llm.topk import top_k
+from tidewatch.llm.toxicity import held_out, predicted, score_toxicity, train
 from tidewatch.shared import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -79,6 +81,20 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), TOKENIZER, end_id=2, size=4096)
 
 
+@query()
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, train(docs, table(spark, folder, "labels")))
+    return scored.select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted(F.col("score")).alias("predicted")
+    )
+
+
+@query()
+def op7_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
+    return compare_neighbours(table(spark, folder, "documents"), k=64, words=5)
+
+
 @query()
 def op8_token_file(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "tokens")
