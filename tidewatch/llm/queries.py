@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.llm.common import table
 from tidewatch.llm.fingerprint import compare_neighbours
+from tidewatch.llm.licenses import license_digest, scan_licenses
 from tidewatch.llm.line_dedup import dedup_lines
 from tidewatch.llm.mixing import mix_sources
 from tidewatch.llm.packing import pack_documents
@@ -35,6 +36,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return license_digest(scan_licenses(table(spark, folder, "documents")))
+
+
 @query("""
 WITH valid AS (
   SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
