@@ -40,11 +40,12 @@ def fingerprint(text: bytes, words: int) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id and the 64-bit ``fingerprint`` (as a signed long) of every whole text.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. A text of fewer words than a shingle
-    has one shingle; a null text, and one without words, has the fingerprint 0.
+    has one shingle; a null text, and one without words, has the fingerprint 0. ``keep`` names other
+    columns to carry along.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -52,11 +53,13 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             values = np.array([fingerprint(t or b"", words) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fingerprint"]
+                [batch.column("doc_id"), pa.array(values.view(np.int64)), *(batch.column(c) for c in keep)],
+                ["doc_id", "fingerprint", *keep],
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.mapInArrow(read, "doc_id long, fingerprint long")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
+    kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return texts.mapInArrow(read, "doc_id long, fingerprint long" + kept)
 
 
 def block_masks(radius: int) -> list[int]:
@@ -223,15 +226,38 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     null ``doc_id`` take part and get the smallest other id of their component (null if none).
     Repeated rows each get a row. Other columns are ignored; an empty table gives no row.
     """
-    marked = durable(fingerprints(docs, words))
-    distinct = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
-    roots = components(near_links(distinct.select("fingerprint"), radius))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
-    rooted = durable(rooted.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")))
+    marked, rooted = rooted_fingerprints(docs, words, radius)
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(smallest, "root").select("fingerprint", "component_id")
     return marked.join(named, "fingerprint").select("doc_id", hex_of("fingerprint"), "component_id")
 
 
+def rooted_fingerprints(
+    docs: DataFrame, words: int, radius: int, keep: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """The marked rows, and every fingerprint with its smallest id and the root of its component."""
+    marked = durable(fingerprints(docs, words, keep))
+    distinct = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    roots = components(near_links(distinct.select("fingerprint"), radius))
+    rooted = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
+    return marked, durable(rooted.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")))
+
+
+def without_near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest ``doc_id``, then of a hash of its text.
+
+    A row without an id stays only if its whole component has none. Columns stay as they are; a
+    repeated row stays once.
+    """
+    tied = docs.withColumn("__tie", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    marked, rooted = rooted_fingerprints(tied, words, radius, keep=("__tie",))
+    roots = marked.join(rooted.select("fingerprint", "root"), "fingerprint")
+    # Nulls come last in this order.
+    best = roots.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__tie")).alias("kept"))
+    best = best.select(F.col("kept.doc_id").alias("__id"), F.col("kept.__tie").alias("__kept"))
+    same = tied["doc_id"].eqNullSafe(F.col("__id")) & (tied["__tie"] == F.col("__kept"))
+    return tied.join(best, same, "left_semi").dropDuplicates(["doc_id", "__tie"]).drop("__tie")
+
+
 def hex_of(column: str) -> Column:
     return F.lpad(F.lower(F.hex(column)), 16, "0").alias(column)
