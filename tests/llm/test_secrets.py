@@ -1,0 +1,69 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+
+from pyspark.sql import functions as F
+
+from tests.llm.helpers import awkward, documents, empty
+from tidewatch.llm.common import table
+from tidewatch.llm.queries import LLM_QUERIES
+from tidewatch.llm.secrets import assumed_findings, corpus_words, scan_secrets, secret_candidates, value_features
+
+
+def brute_candidates(rows):
+    out = []
+    for doc_id, text in rows:
+        for i, piece in enumerate(re.split(r"[\x20\x09-\x0D]+", text or "")):
+            out += [(doc_id, i, m) for m in re.findall("[A-Za-z0-9_+/=.@-]{12,}", piece) if re.search("[0-9]", m)]
+    return sorted(out, key=repr)
+
+
+def test_held_out_findings(spark):
+    folder = "/root/testdata/sf0.1"
+    docs = table(spark, folder, "documents")
+    rows = LLM_QUERIES["op3_secrets"](spark, folder).collect()
+    assert sorted(((r["doc_id"], r["word"], r["value"]) for r in rows), key=repr) == brute_candidates(
+        [(r["doc_id"], r["text"]) for r in docs.collect()]
+    )
+    labels = {(r["doc_id"], r["word"], r["value"]): r["secret"] for r in assumed_findings(secret_candidates(docs)).collect()}
+    held = [(labels[r["doc_id"], r["word"], r["value"]], r["secret"]) for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    assert sum(a for a, _ in held) > 20
+    assert sum(a == b for a, b in held) > 0.97 * len(held)
+
+
+def test_features(spark):
+    docs = documents(spark, ["the the the the the theatre", "hash abcABC123-the9"])
+    found = secret_candidates(docs)
+    r, = value_features(found, corpus_words(docs)).collect()
+    assert r["value"] == "abcABC123-the9" and r["length"] == 14
+    assert (r["digits"], r["uppers"], r["symbols"]) == (4 / 14, 3 / 14, 1 / 14)
+    assert (r["to_ll"], r["to_lu"], r["to_ud"], r["to_ds"], r["to_sl"], r["to_ld"], r["to_dl"]) == (
+        4 / 14, 1 / 14, 1 / 14, 1 / 14, 1 / 14, 1 / 14, 0)
+    assert r["covered"] == 3 / 14
+
+
+def test_forest_takes_false_positives_out(spark):
+    rng = random.Random(6)
+    digits = lambda n, of: "".join(rng.choice(of) for _ in range(n))
+    texts = []
+    for i in range(240):
+        texts.append(f'login with password = "{digits(30, "0123456789abcdef")}" now')
+        texts.append(f"see order-number {digits(16, '0123456789')} or mail name{i}@host.example today")
+    docs = documents(spark, texts)
+    rows = scan_secrets(docs).collect()
+    held = [r for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    assert held and all(r["secret"] == (r["doc_id"] % 2 == 0) for r in held)
+    reviewed = assumed_findings(secret_candidates(docs)).withColumn("secret", F.col("value").contains("@").cast("int"))
+    rows = scan_secrets(docs, reviewed).collect()
+    assert all(r["secret"] == int("@" in r["value"]) for r in rows)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, scan_secrets(docs.repartition(5), reviewed).collect()))
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark).withColumn("text", F.concat_ws(" ", "text", F.when(F.col("doc_id") != 3, F.lit("key=abc123def456"))))
+    rows = scan_secrets(docs).collect()
+    expected = brute_candidates([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert sorted(((r["doc_id"], r["word"], r["value"]) for r in rows), key=repr) == expected
+    assert scan_secrets(empty(spark)).collect() == []

@@ -14,6 +14,7 @@ from tidewatch.llm.licenses import license_digest, scan_licenses
 from tidewatch.llm.line_dedup import dedup_lines
 from tidewatch.llm.mixing import mix_sources
 from tidewatch.llm.packing import pack_documents
+from tidewatch.llm.secrets import scan_secrets
 from tidewatch.llm.simhash import near_duplicates
 from tidewatch.llm.token_file import document_digests, read_token_file, write_token_file
 from tidewatch.llm.topk import top_k
@@ -59,6 +60,11 @@ def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
 
 
+@query()
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_secrets(table(spark, folder, "documents"))
+
+
 @query("""
 WITH lines AS (
   SELECT doc_id, i, line, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
