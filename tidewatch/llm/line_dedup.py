@@ -154,6 +154,8 @@ def dedup_lines(docs: DataFrame, least_length: int = 40, least_documents: int =
     of = F.struct("doc_id")
     repeated = suspected.groupBy("key").agg(F.count_distinct(of).alias("n"), F.max(of).alias("keeper"))
     repeated = repeated.where(F.col("n") >= least_documents).select("key", F.col("keeper.doc_id").alias("keeper"))
+    # A side of its own, so that a line with very many documents can be split over tasks by the join.
+    repeated = durable(repeated)
     losing = suspected.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     losing = losing.groupBy("doc_id").agg(F.collect_set("key").alias("__lost"))
     losing = losing.withColumnRenamed("doc_id", "__id")

@@ -146,7 +146,8 @@ def near_links(distinct: DataFrame, radius: int) -> DataFrame:
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keys = distinct.select("fingerprint", F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in signed])))
     keys = keys.select("fingerprint", F.col("pos").alias("mask"), F.col("col").alias("bits"))
-    sizes = keys.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    # A side of its own, so that a large block can be split over tasks by the join.
+    sizes = durable(keys.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     parts = F.ceil(F.col("n") / TILE)
     part = F.pmod(F.xxhash64("fingerprint"), parts)
     met = keys.join(sizes, ["mask", "bits"]).select(
@@ -195,14 +196,14 @@ def components(links: DataFrame) -> DataFrame:
     """node and root (the smallest node of its component) of every node in ``links`` (a, b).
 
     Alternating large-star and small-star rounds until nothing changes: every round links nodes to
-    the smallest node near them. A hub's neighbours are dealt over tasks as link rows; the smallest is a partial
-    aggregate. Every round is a reliable checkpoint.
+    the smallest node near them. A hub's links are rows of a join that can be split over tasks, and its
+    smallest neighbour is a partial aggregate. Every round is a reliable checkpoint.
     """
     edges = durable(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = durable(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(least, "u")
