@@ -32,20 +32,27 @@ def test_paths_agree(spark, how, null_safe):
     assert len(small) == (4500 if how == "left" else matched)
 
 
-def test_hot_keys_are_few_and_never_shuffled(no_broadcast):
+def test_wide_sides_are_shuffled_with_one_read_of_the_fact(no_broadcast, tmp_path):
     fact, side = skewed(no_broadcast)
-    hot = joins._hot_keys(fact, ["k"], None)
-    assert {r["k"] for r in hot.collect()} == {"hot", None}
-    plan = plan_of(joins.keyed_join(fact, side, ["k"]))
+    fact.write.parquet(str(tmp_path / "fact"))
+    fact = no_broadcast.read.parquet(str(tmp_path / "fact"))
+    plan = plan_of(joins.keyed_join(fact, side, ["k"], "left", True))
     assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
-    assert "BroadcastHashJoin" in plan
+    assert plan.count("Scan parquet") == 2  # once in the tree and once in the details
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
-def test_weights_replace_counting(no_broadcast):
-    fact, side = skewed(no_broadcast)
-    weights = fact.groupBy("k").count().withColumnRenamed("count", "rows")
-    assert joins.keyed_join(fact, side, ["k"], "inner", True, weights).count() == 3050
+def test_many_null_columns_are_not_small(spark):
+    row = "id AS k, " + ", ".join(f"CAST(NULL AS double) AS c{i}" for i in range(300))
+    wide = spark.range(5000).selectExpr(*row.split(", "))
+    assert joins.measured_bytes(wide) >= 5000 * 300 * 8
+    assert not joins.fits_broadcast(wide)
+
+
+def test_nested_and_unknown_types(spark):
+    nested = spark.sql("SELECT map('a', array(1, 2)) AS m, named_struct('t', 'xyz') AS s, 1.5BD AS d")
+    assert joins.measured_bytes(nested) > 100
+    assert joins.measured_bytes(spark.sql("SELECT INTERVAL '1' MONTH AS i")) is None
 
 
 def test_threshold_decides(spark):
@@ -53,7 +60,7 @@ def test_threshold_decides(spark):
     assert joins.fits_broadcast(side)
     assert joins.measured_bytes(side) > 752 * joins.ROW_OVERHEAD_BYTES
     assert joins.measured_bytes(side.limit(0)) == 0
-    for text, expected in [("10485760b", 10485760), ("10MB", 10 << 20), ("64k", 64 << 10), ("-1", -1), ("5", 5)]:
+    for text, expected in [("10485760b", 10485760), ("10MB", 10 << 20), ("64k", 64 << 10), ("-1", -1), ("5", 5), ("1p", 1 << 50)]:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)
         assert joins.broadcast_limit(spark) == expected
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100b")

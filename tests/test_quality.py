@@ -9,8 +9,8 @@ from tidewatch.operators import quality as Q
 from tidewatch.schema import EVENT_SCHEMA
 
 VALID = dict(
-    event_id="a3d4f891-23bc-4d67-9a12-8f3e4a7b5c9d", device_id="device-001", device_type="temperature",
-    timestamp=at("12:00"), event_duration=125.5, value=22.5, status="normal",
+    event_id="0f1e2d3c-4b5a-4978-8695-a4b3c2d1e0f9", device_id="device-417", device_type="motion",
+    timestamp=at("12:00"), event_duration=87.25, value=0.5, status="normal",
     metadata={"location": "zone-A", "firmware": "v1.0.0"},
 )
 
@@ -50,7 +50,7 @@ def test_contract_bounds_are_inclusive(spark, bounds):
 
 def test_ingest_check_is_shorter_than_the_contract(spark):
     changes = [{}, {"metadata": None}, {"status": "odd"}, {"device_id": "odd"}, {"event_duration": 5000.0},
-               {"event_duration": -1.0}, {"event_id": "{a3d4f891-23bc-4d67-9a12-8f3e4a7b5c9d}"}, {"status": None}]
+               {"event_duration": -1.0}, {"event_id": "{0f1e2d3c-4b5a-4978-8695-a4b3c2d1e0f9}"}, {"status": None}]
     df = events(spark, *changes).coalesce(1)
     strict = [r["is_valid"] for r in Q.with_validity(df, Q.ingest_rules()).collect()]
     lenient = [r["is_valid"] for r in Q.with_validity(df, Q.ingest_rules(strict=False)).collect()]
@@ -99,3 +99,15 @@ def test_schema_checks(spark):
     assert not Q.validate_schema(events(spark, {}).drop("event_duration"))
     retyped = events(spark, {}).drop("value").selectExpr("*", "1 AS value")
     assert Q.mistyped_columns(retyped, EVENT_SCHEMA) == ["value"]
+
+
+def test_patterns_end_where_the_text_ends(spark):
+    frame = events(spark, {"device_id": "device-417\n"}, {"event_id": "0f1e2d3c-4b5a-4978-8695-a4b3c2d1e0f9\n"}, {})
+    valid, rejected = Q.split_valid(frame, Q.contract_rules())
+    assert (valid.count(), rejected.count()) == (1, 2)
+
+
+def test_raw_times_have_a_rule(spark):
+    raw = spark.createDataFrame([("12:30",), ("2024",), ("2024-01-01T12:00:00Z",), (None,)], "timestamp string")
+    assert raw.filter(Q.date_time("timestamp").failed()).count() == 2
+    assert Q.contract_rules(decoded=False)[0].label == "date_time:timestamp"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import glob
-from datetime import date
+from datetime import date, datetime
 from types import SimpleNamespace
 
 import pytest
@@ -92,3 +92,15 @@ def test_reading_events_keeps_the_contract(spark):
 def test_session_settings(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("RocksDBStateStoreProvider")
+
+
+def test_compaction_keeps_the_days_that_are_there(spark, tmp_path):
+    rows = [(datetime(2024, 1, d, 10), 2024, 1, d, 10) for d in (1, 1, 2)]
+    frame = spark.createDataFrame(rows, "window_start timestamp, year int, month int, day int, hour int")
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    tables.write_windows(frame, source)
+    for day in (1, 2, 1):
+        tables.compact_days(spark, source, target, date(2024, 1, day), date(2024, 1, day))
+    assert sorted(r["day"] for r in spark.read.parquet(target).collect()) == [1, 1, 2]
+    with pytest.raises(ValueError):
+        tables.compact_days(spark, source, source + "/", date(2024, 1, 1), date(2024, 1, 2))

@@ -15,9 +15,9 @@ from tidewatch.operators.dedup import dedup_events
 from tidewatch.schema import EVENT_SCHEMA, MESSAGE_SCHEMA, WIRE_SCHEMA
 
 EVENT = {
-    "event_id": "a3d4f891-23bc-4d67-9a12-8f3e4a7b5c9d", "device_id": "device-001", "device_type": "temperature",
-    "timestamp": "2024-01-01T12:00:00.123456Z", "event_duration": 125.5, "value": 22.5, "status": "normal",
-    "metadata": {"location": "zone-A", "firmware": "v1.0.0"},
+    "event_id": "0f1e2d3c-4b5a-4978-8695-a4b3c2d1e0f9", "device_id": "device-417", "device_type": "motion",
+    "timestamp": "2024-01-01T12:00:00.123456Z", "event_duration": 87.25, "value": 0.5, "status": "warning",
+    "metadata": {"location": "zone-D", "firmware": "v3.1.4"},
 }
 
 
@@ -32,7 +32,7 @@ def messages(spark, *payloads):
 def test_decode_valid_event(spark):
     row = project.decode_events(messages(spark, EVENT)).first()
     assert row["metadata"] == EVENT["metadata"]
-    assert row["event_duration"] == 125.5
+    assert row["event_duration"] == 87.25
     assert project.decode_events(messages(spark, EVENT)).schema == EVENT_SCHEMA
 
 
@@ -40,17 +40,18 @@ def test_decode_bad_payloads_gives_null_rows_and_keeps_every_message(spark):
     bad = messages(spark, b"{not json", None, {**EVENT, "event_duration": "long"}, {"event_id": "x"}, EVENT)
     decoded = project.decode_events(bad)
     assert decoded.count() == 5
-    assert [r["event_duration"] for r in decoded.collect()] == [None, None, None, None, 125.5]
+    assert [r["event_duration"] for r in decoded.collect()] == [None, None, None, None, 87.25]
     assert filters.drop_invalid_events(decoded).count() == 1
 
 
 def test_event_times_in_every_form(spark):
     texts = ["2024-01-01T12:00:00.123456Z", "2024-01-01T12:00:00+02:00", "2024-01-01T12:00:00.5Z", "noon", None]
+    texts += ["12:30", "2024", "2024-01-01T12:00:00 Europe/Paris", "2024-01-01T12:00:00Z\n", "2024-02-30T12:00:00Z"]
     frame = spark.createDataFrame([(t,) for t in texts], "timestamp string")
     parsed = project.with_event_time(frame).select(F.col("timestamp").cast("timestamp_ntz"))
     assert [r[0] for r in parsed.collect()] == [
         datetime(2024, 1, 1, 12, 0, 0, 123456), datetime(2024, 1, 1, 10), datetime(2024, 1, 1, 12, 0, 0, 500000),
-        None, None,
+        *[None] * 7,
     ]
 
 
@@ -64,7 +65,7 @@ def test_encode_then_decode_is_identity(spark):
     odd = {**event, "event_id": "odd", "event_duration": float("nan"), "value": None, "metadata": None}
     frame = spark.createDataFrame([event, odd], EVENT_SCHEMA)
     sent = project.encode_events(frame)
-    assert bytes(sent.first()["key"]) == b"device-001"
+    assert bytes(sent.first()["key"]) == b"device-417"
     assert repr(rows_of(project.decode_events(sent))) == repr(rows_of(frame))  # NaN is not equal to itself
 
 
@@ -95,20 +96,20 @@ def test_enrichment(spark):
 
 
 def test_map_entries(spark):
-    frame = spark.createDataFrame([({"location": "zone-A"},), (None,)], "metadata map<string,string>")
+    frame = spark.createDataFrame([({"location": "zone-C"},), (None,)], "metadata map<string,string>")
     entries = project.with_map_entries(frame, ["location", "firmware"])
-    assert [tuple(r)[1:] for r in entries.collect()] == [("zone-A", None), (None, None)]
+    assert [tuple(r)[1:] for r in entries.collect()] == [("zone-C", None), (None, None)]
 
 
 @pytest.mark.parametrize(
     ("text", "strict", "lenient"),
     [
-        ("a3d4f891-23bc-4d67-9a12-8f3e4a7b5c9d", True, True),
-        ("a3d4f891-23bc-1d67-9a12-8f3e4a7b5c9d", True, True),
-        ("A3D4F891-23BC-4D67-9A12-8F3E4A7B5C9D", True, True),
-        ("{a3d4f891-23bc-4d67-9a12-8f3e4a7b5c9d}", False, True),
-        ("urn:uuid:a3d4f891-23bc-4d67-9a12-8f3e4a7b5c9d", False, True),
-        ("a3d4f89123bc4d679a128f3e4a7b5c9d", False, True),
+        ("0f1e2d3c-4b5a-4978-8695-a4b3c2d1e0f9", True, True),
+        ("0f1e2d3c-4b5a-1978-8695-a4b3c2d1e0f9", True, True),
+        ("0F1E2D3C-4B5A-4978-8695-A4B3C2D1E0F9", True, True),
+        ("{0f1e2d3c-4b5a-4978-8695-a4b3c2d1e0f9}", False, True),
+        ("urn:uuid:0f1e2d3c-4b5a-4978-8695-a4b3c2d1e0f9", False, True),
+        ("0f1e2d3c4b5a49788695a4b3c2d1e0f9", False, True),
         ("test-123", False, False),
         (None, False, False),
     ],

@@ -8,13 +8,18 @@ from pyspark.sql import functions as F
 # Duration classes in milliseconds and the accepted forms of an identifier.
 FAST_BELOW_MS = 100
 NORMAL_BELOW_MS = 300
-CANONICAL_UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
-BARE_UUID = r"^[0-9a-fA-F]{32}$"
+CANONICAL_UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}\z"
+BARE_UUID = r"^[0-9a-fA-F]{32}\z"
+DATE_TIME = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})\z"
 
 
 def parse_event_time(text: Column | str) -> Column:
-    """ISO-8601 text (fraction, ``Z`` or offset) to an instant; unreadable text gives NULL."""
-    return F.try_to_timestamp(F.col(text) if isinstance(text, str) else text)
+    """Full date and time with ``Z`` or an offset (RFC 3339) to an instant; any other text gives NULL.
+
+    A time alone, a year or a region name would be read as some day that the text doesn't name.
+    """
+    column = F.col(text) if isinstance(text, str) else text
+    return F.when(column.rlike(DATE_TIME), F.try_to_timestamp(F.upper(column)))
 
 
 def event_date(time: Column | str) -> Column:

@@ -102,8 +102,7 @@ def qualified_spread(
         return sized.part(spread.select(*measures, is_proven.alias("qualified")))
     passed = (
         keyed_join(
-            df.select(*keys, distinct), sized.part(open_groups), keys, null_safe=True,
-            weights=spread.select(*keys, "rows"),
+            df.select(*keys, distinct), sized.part(open_groups), keys, null_safe=True
         )
         .groupBy(*keys)
         .agg(F.count_distinct(distinct).alias("distinct_events"))
@@ -113,8 +112,7 @@ def qualified_spread(
     if not sized.fits:
         passed = durable(passed)
     decided = keyed_join(
-        spread, sized.part(passed), keys, how="left", null_safe=True,
-        weights=spread.select(*keys, F.lit(1).alias("rows")),
+        spread, sized.part(passed), keys, how="left", null_safe=True
     )
     qualified = is_proven | F.coalesce(F.col("__passed"), F.lit(False))
     return sized.part(decided.select(*measures, qualified.alias("qualified")))

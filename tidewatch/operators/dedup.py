@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,12 +24,19 @@ def dedup_events(
     state is bounded. A batch keeps the earliest copy; equally early copies are ordered by their
     other columns, so a rerun keeps the same row. Spark applies the first-per-key limit before
     the shuffle too, so the copies of one identifier never meet in one task.
+
+    Events without an identifier can't be told to be copies. A batch keeps all of them. A stream,
+    where they would share one entry of the state, leaves them out: split them off before.
     """
+    named = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
     if events.isStreaming:
-        return events.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
+        return events.withWatermark(time, delay).filter(named).dropDuplicatesWithinWatermark(list(keys))
     ties = [
-        c for c in events.columns
-        if c not in keys and c != time and not isinstance(events.schema[c].dataType, T.MapType)
+        F.array_sort(F.map_entries(c)) if isinstance(events.schema[c].dataType, T.MapType) else F.col(c)
+        for c in events.columns
+        if c not in keys and c != time
     ]
-    copies = Window.partitionBy(*keys).orderBy(time, *ties)
-    return events.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").drop("__copy")
+    # Each of the rows without an identifier is a group of its own.
+    alone = events.withColumn("__alone", F.when(~named, F.monotonically_increasing_id()))
+    copies = Window.partitionBy(*keys, "__alone").orderBy(time, *ties)
+    return alone.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").drop("__copy", "__alone")

@@ -9,32 +9,57 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidewatch.shared import durable
+# Upper bounds for what a row and a value take in memory besides their content.
+ROW_OVERHEAD_BYTES = 48
+VALUE_BYTES = 16
 
-# A key is hot when it holds more than 1/HOT_SHARE of all rows, so at most HOT_SHARE keys are.
-HOT_SHARE = 1000
-ROW_OVERHEAD_BYTES = 32
-
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+_FLAT_TYPES = {
+    "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp", "timestamp_ntz", "void",
+}
 
 
 def broadcast_limit(spark: SparkSession) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes; negative means never."""
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
-    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", text).groups()
-    return int(number) * _UNITS[unit]
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Upper estimate of the rows' size, from one aggregate over the actual rows."""
-    width = F.coalesce(F.octet_length(F.to_json(F.struct("*"))), F.lit(0)) + ROW_OVERHEAD_BYTES
-    return df.agg(F.sum(width.cast("bigint")).alias("bytes")).first()["bytes"] or 0
+    match = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)(?:i?b)?", text)
+    if match is None:
+        raise ValueError(f"spark.sql.autoBroadcastJoinThreshold is not a size: {text}")
+    return int(match[1]) * _UNITS[match[2]]
+
+
+def _value_bytes(column: Column, kind: T.DataType) -> Column:
+    """Upper bound of the bytes of one value, NULL or not, by its type."""
+    flat = F.lit(VALUE_BYTES)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return flat + F.coalesce(F.octet_length(column), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        inner = lambda total, x: total + _value_bytes(x, kind.elementType)
+        return flat + F.coalesce(F.aggregate(column, F.lit(0), inner), F.lit(0))
+    if isinstance(kind, T.MapType):
+        keys, values = T.ArrayType(kind.keyType), T.ArrayType(kind.valueType)
+        return flat + _value_bytes(F.map_keys(column), keys) + _value_bytes(F.map_values(column), values)
+    if isinstance(kind, T.StructType):
+        return reduce(Column.__add__, [_value_bytes(column[f.name], f.dataType) for f in kind.fields], flat)
+    return flat if kind.simpleString() in _FLAT_TYPES or isinstance(kind, T.DecimalType) else F.lit(None)
+
+
+def measured_bytes(df: DataFrame) -> int | None:
+    """Upper bound of the rows' size, from one aggregate; None if a type has no bound here."""
+    bounds = F.array(*[_value_bytes(F.col(f"`{f.name}`"), f.dataType).cast("bigint") for f in df.schema.fields])
+    width = F.aggregate(bounds, F.lit(ROW_OVERHEAD_BYTES).cast("bigint"), lambda total, x: total + x)
+    total, unbounded = df.agg(F.sum(width), F.count_if(width.isNull())).first()
+    return None if unbounded else total or 0
 
 
 def fits_broadcast(df: DataFrame) -> bool:
     limit = broadcast_limit(df.sparkSession)
-    return limit > 0 and measured_bytes(df) <= limit
+    if limit <= 0:
+        return False
+    size = measured_bytes(df)
+    return size is not None and size <= limit
 
 
 @dataclass(frozen=True)
@@ -59,37 +84,18 @@ def keyed_join(
     keys: Sequence[str],
     how: str = "inner",
     null_safe: bool = False,
-    weights: DataFrame | None = None,
 ) -> DataFrame:
     """Join ``fact`` with ``side``, which has one row (or a fixed few rows) per key.
 
     An unmeasured ``side`` is read more than once, so pass a table or a
-    :func:`~tidewatch.shared.durable` result. If its measured size is within the session's broadcast threshold, it is broadcast and
-    ``fact`` is not shuffled. Otherwise the hot keys are joined by broadcast (there are at most
-    ``HOT_SHARE`` of them, whatever the data) and only the rows of the other keys are shuffled.
-    ``weights`` may give rows per key as (keys, rows); without it they are counted when needed.
+    :func:`~tidewatch.shared.durable` result. If its measured size is within the session's broadcast
+    threshold, it is broadcast and ``fact`` is not shuffled. Otherwise both are shuffled once, and
+    adaptive execution splits the partitions of hot keys, which it can do because a table or a
+    durable result is an exchange of its own.
     """
     keys = list(keys)
     sized = side if isinstance(side, Sized) else Sized.of(side)
-    side = sized.frame
-    if sized.fits:
-        return _join(fact, F.broadcast(side), keys, how, null_safe)
-    hot = _hot_keys(fact, keys, weights)
-    hot_fact = _join(fact, F.broadcast(hot), keys, "left_semi", True)
-    cold_fact = _join(fact, F.broadcast(hot), keys, "left_anti", True)
-    hot_side = _join(side, F.broadcast(hot), keys, "left_semi", True)
-    return _join(hot_fact, F.broadcast(hot_side), keys, how, null_safe).unionByName(
-        _join(cold_fact, side, keys, how, null_safe)
-    )
-
-
-def _hot_keys(fact: DataFrame, keys: list[str], weights: DataFrame | None) -> DataFrame:
-    if weights is None:
-        total = fact.count()
-        weights = fact.groupBy(*keys).agg(F.count("*").alias("rows"))
-    else:
-        total = weights.agg(F.sum("rows").alias("rows")).first()["rows"] or 0
-    return durable(weights.filter(F.col("rows") > total / HOT_SHARE).select(*keys))
+    return _join(fact, F.broadcast(sized.frame) if sized.fits else sized.frame, keys, how, null_safe)
 
 
 def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str, null_safe: bool) -> DataFrame:

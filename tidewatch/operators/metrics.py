@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -117,9 +118,14 @@ def silence_gaps(
     threshold_seconds: int = 300,
     keys: Sequence[str] = ("device_type",),
     time: str = "timestamp",
+    still_open: bool = False,
+    until: datetime | None = None,
 ) -> DataFrame:
     """Pauses of more than ``threshold_seconds`` between consecutive events of a key.
 
+    With ``still_open`` there is also a row, with ``gap_end`` NULL, for each key that is silent for
+    longer than the threshold at ``until`` (default: the latest event of all keys).
+
     Two events of one time slot of that length are closer than the threshold, so only the first
     and last event of each slot matter. The rows per key that are put in order are thus bounded
     by the time covered, not by the number of events.
@@ -134,11 +140,22 @@ def silence_gaps(
     order = Window.partitionBy(*keys).orderBy("__slot") if keys else Window.orderBy("__slot")
     paired = slots.withColumn("gap_start", F.lag("__last").over(order))
     gap = seconds_between(F.col("gap_start"), F.col("__first"))
-    return (
+    closed = (
         paired.withColumn("gap_seconds", gap)
         .filter(F.col("gap_seconds") > threshold_seconds)
         .select(*keys, "gap_start", F.col("__first").alias("gap_end"), "gap_seconds")
     )
+    if not still_open:
+        return closed
+    kind = events.schema[time].dataType
+    last = slots.groupBy(*keys).agg(F.max("__last").alias("gap_start"))
+    end = slots.agg(F.max("__last").alias("end")).scalar() if until is None else F.lit(until).cast(kind)
+    silent = seconds_between(F.col("gap_start"), end)
+    return closed.unionByName(
+        last.withColumn("gap_seconds", silent)
+        .filter(F.col("gap_seconds") > threshold_seconds)
+        .select(*keys, "gap_start", F.lit(None).cast(kind).alias("gap_end"), "gap_seconds")
+    )
 
 
 def error_rates(

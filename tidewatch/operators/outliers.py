@@ -27,7 +27,7 @@ def is_outlier_3sigma(
     keys = [group_by] if isinstance(group_by, str) else list(group_by)
     spread = durable(group_spread(df, column, keys))
     joined = keyed_join(
-        df, spread.select(*keys, "mu", "sigma"), keys, null_safe=True, weights=spread.select(*keys, "rows")
+        df, spread.select(*keys, "mu", "sigma"), keys, null_safe=True
     )
     return joined.withColumn("is_outlier", beyond_sigma(F.col(column), F.col("mu"), F.col("sigma"), k))
 
@@ -82,7 +82,6 @@ def remove_outliers(
     value: str = "avg_duration",
     keys: Sequence[str] = GROUP_KEYS,
     k: float = SIGMA_LIMIT,
-    weights: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of the groups in ``stats`` that lie within ``k`` sigma, with their mu and sigma.
 
@@ -90,7 +89,7 @@ def remove_outliers(
     """
     columns = [*keys, "mu", "sigma"]
     side = stats.part(stats.frame.select(*columns)) if isinstance(stats, Sized) else stats.select(*columns)
-    return keep_inliers(keyed_join(df, side, keys, weights=weights), value, k)
+    return keep_inliers(keyed_join(df, side, keys), value, k)
 
 
 def _outside(x: Column, low: Column, high: Column) -> Column:

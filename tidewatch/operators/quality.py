@@ -78,9 +78,19 @@ def entry_matches(column: str, key: str, pattern: str) -> Rule:
     return Rule(f"entry_{key}", column, failure)
 
 
-def contract_rules() -> list[Rule]:
-    """Every rule of the event contract, as data."""
+def date_time(column: str) -> Rule:
+    """Raw text must be a full date and time with a zone (RFC 3339) that exists; NULL passes."""
+    return Rule("date_time", column, lambda: F.col(column).isNotNull() & E.parse_event_time(column).isNull())
+
+
+def contract_rules(decoded: bool = True) -> list[Rule]:
+    """Every rule of the event contract, as data.
+
+    Events that are not ``decoded`` still have their time as text, which then has a rule of its own;
+    in decoded ones unreadable text is NULL and fails as missing.
+    """
     return [
+        *([] if decoded else [date_time("timestamp")]),
         *[not_null(name) for name in EVENT_SCHEMA.names],
         uuid_form("event_id"),
         matches("device_id", DEVICE_ID_PATTERN),

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,7 +24,6 @@ DIRECT_ROWS = 2_000_000
 BUCKETS = 1024
 # A bucket this small is cheaper to order than to narrow once more.
 MAX_BUCKET_ROWS = 16_384
-MAX_ROUNDS = 8
 
 
 def quantiles(
@@ -82,14 +82,14 @@ def exact_quantiles(
     ).select(*keys, "__target.slot", "__target.rank", "lo", "hi", "rows")
     targets = durable(targets)
     large = (F.col("lo") < F.col("hi")) & (F.col("rows") > max_bucket_rows)
-    for round_number in range(MAX_ROUNDS):
+    for round_number in count():
         if targets.filter(large).isEmpty():
             break
-        narrowed = _narrow(data, targets.filter(large), keys, bounds, buckets, log_scale=round_number == 0)
+        narrowed = _narrow(data, targets.filter(large), keys, buckets, log_scale=round_number % 2 == 0)
         targets = durable(targets.filter(~large).unionByName(narrowed))
 
     open_targets = targets.filter(F.col("lo") < F.col("hi"))
-    inside = _inside(data, open_targets, keys, bounds)
+    inside = _inside(data, open_targets, keys)
     counts = inside.groupBy(*keys, "slot", "rank", "__x").agg(F.count("*").alias("rows"))
     ordered = Window.partitionBy(*keys, "slot").orderBy("__x")
     reached = counts.withColumn("__upto", F.sum("rows").over(ordered)).filter(F.col("__upto") >= F.col("rank"))
@@ -127,7 +127,7 @@ def quantiles_of_counts(
 
 
 def _narrow(
-    data: DataFrame, targets: DataFrame, keys: list[str], weights: DataFrame, buckets: int, log_scale: bool
+    data: DataFrame, targets: DataFrame, keys: list[str], buckets: int, log_scale: bool
 ) -> DataFrame:
     """Each target's bucket that holds its rank, with the rank counted from that bucket."""
     scale = _log_scale if log_scale else (lambda c: c)
@@ -135,7 +135,7 @@ def _narrow(
     position = F.floor((x - lo) / (hi - lo) * buckets)
     bucket = F.least(F.lit(buckets - 1).cast("bigint"), F.when(hi > lo, position).otherwise(0))
     histogram = (
-        _inside(data, targets, keys, weights)
+        _inside(data, targets, keys)
         .select(*keys, "slot", "rank", bucket.alias("__bucket"), "__x")
         .groupBy(*keys, "slot", "rank", "__bucket")
         .agg(F.count("*").alias("rows"), F.min("__x").alias("lo"), F.max("__x").alias("hi"))
@@ -150,16 +150,17 @@ def _narrow(
 
 
 def _log_scale(x: Column) -> Column:
-    """Monotone map of the doubles to [-710, 710], so that a long tail does not fill one bucket."""
-    return F.greatest(F.lit(-710.0), F.least(F.lit(710.0), F.signum(x) * F.log1p(F.abs(x))))
+    """Monotone map of the doubles by their magnitude, down to the smallest, so that no tail fills one bucket."""
+    # Doubles above zero go from 2**-1074 to below 2**1024; infinity stands after them.
+    return F.signum(x) * F.when(x == 0, 0.0).otherwise(F.least(F.log2(F.abs(x)) + 1075, F.lit(2100.0)))
 
 
-def _inside(data: DataFrame, targets: DataFrame, keys: list[str], weights: DataFrame) -> DataFrame:
+def _inside(data: DataFrame, targets: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``data`` with the targets whose value range they fall into."""
     in_range = F.col("__x").between(F.col("lo"), F.col("hi"))
     side = targets.select(*keys, "slot", "rank", "lo", "hi")
     if keys:
-        return keyed_join(data, side, keys, null_safe=True, weights=weights.select(*keys, "rows")).filter(in_range)
+        return keyed_join(data, side, keys, null_safe=True).filter(in_range)
     # One group: at most one target per probability, so the ranges become literals that reach the scan.
     rows = side.collect()
     if not rows:

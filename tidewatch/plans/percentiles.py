@@ -64,7 +64,7 @@ def _exact_percentiles(rows: DataFrame, spread: Sized, k: float, q: float) -> Da
     p95 = exact_quantiles(clean, "event_duration", {"p95_duration": q}, GROUP_KEYS)
     if not spread.fits:
         measures, p95 = durable(measures), durable(p95)
-    joined = keyed_join(measures, spread.part(p95), GROUP_KEYS, weights=_one_row_per_key(measures))
+    joined = keyed_join(measures, spread.part(p95), GROUP_KEYS)
     return order_by_day(
         joined.select(
             *GROUP_KEYS, "p95_duration", "total_events", "avg_duration", "mean_duration", "stddev_duration"
@@ -74,13 +74,8 @@ def _exact_percentiles(rows: DataFrame, spread: Sized, k: float, q: float) -> Da
 
 def _inliers(rows: DataFrame, spread: Sized, k: float) -> DataFrame:
     stats = spread.part(spread.frame.filter("qualified"))
-    weights = spread.frame.select(*GROUP_KEYS, "rows")
     columns = rows.select(*GROUP_KEYS, "event_duration")
-    return remove_outliers(columns, stats, "event_duration", k=k, weights=weights)
-
-
-def _one_row_per_key(df: DataFrame) -> DataFrame:
-    return df.select(*GROUP_KEYS, F.lit(1).alias("rows"))
+    return remove_outliers(columns, stats, "event_duration", k=k)
 
 
 def removal_report(
@@ -98,7 +93,7 @@ def removal_report(
     if not spread.fits:
         kept = durable(kept)
     joined = keyed_join(
-        groups, spread.part(kept), GROUP_KEYS, how="left", null_safe=True, weights=_one_row_per_key(groups)
+        groups, spread.part(kept), GROUP_KEYS, how="left", null_safe=True
     )
     kept_rows = F.coalesce("kept", F.lit(0).cast("bigint"))
     return joined.select(
@@ -124,7 +119,6 @@ def p95_from_windows(
     rows = daily_window_rows(windows)
     stats = durable(compute_daily_statistics(rows))
     clean = remove_outliers(
-        rows, filter_qualified_devices(stats, min_events), k=k,
-        weights=stats.select(*GROUP_KEYS, F.col("total_windows").alias("rows")),
+        rows, filter_qualified_devices(stats, min_events), k=k
     )
     return compute_percentiles(clean, q=q)

@@ -7,7 +7,7 @@ copies, these are derived from all rows of ``events`` by expressions that both s
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from tidewatch.operators.dedup import dedup_events
 from tidewatch.operators.joins import join_dimension
 from tidewatch.plans.percentiles import p95_from_events, p95_from_windows, removal_report
 from tidewatch.plans.windows import events_to_windows
-from tidewatch.schema import PARTITION_COLUMNS, WATERMARK_DELAY
+from tidewatch.schema import PARTITION_COLUMNS, WATERMARK_DELAY, WINDOW_SCHEMA
 from tidewatch.sources import tables
 from tidewatch.sources.events_table import as_messages, read_events, stream_events
 from tidewatch.streaming.runner import CATCH_UP, run_stream
@@ -76,7 +76,8 @@ ev AS (
 # Every fault the contract knows, spread over all events by their own values.
 FAULTY_SQL = """
 faulty AS (
-  SELECT CASE WHEN value BETWEEN 20 AND 22 THEN CAST(event_id AS VARCHAR)
+  SELECT CASE WHEN value BETWEEN 18 AND 20 THEN NULL
+              WHEN value BETWEEN 20 AND 22 THEN CAST(event_id AS VARCHAR)
               WHEN value BETWEEN 22 AND 24 THEN '{' || id || '}'
               WHEN value BETWEEN 24 AND 26 THEN 'urn:uuid:' || id
               WHEN value BETWEEN 26 AND 28 THEN replace(id, '-', '')
@@ -117,7 +118,8 @@ def faulty_events(spark: SparkSession, folder: str) -> DataFrame:
     for source, target in names.items():
         device_type = F.when(F.col("event_type") == source, target).otherwise(device_type)
     row = F.struct(
-        F.when(value.between(20, 22), F.col("event_id").cast("string"))
+        F.when(value.between(18, 20), F.lit(None).cast("string"))
+        .when(value.between(20, 22), F.col("event_id").cast("string"))
         .when(value.between(22, 24), F.concat(F.lit("{"), identifier, F.lit("}")))
         .when(value.between(24, 26), F.concat(F.lit("urn:uuid:"), identifier))
         .when(value.between(26, 28), F.replace(identifier, F.lit("-"), F.lit("")))
@@ -155,29 +157,19 @@ def repeated_events(spark: SparkSession, folder: str) -> DataFrame:
     return later.unionByName(events)
 
 
-_LANDED: dict[tuple[str, str], str] = {}
-
-
 def landed_windows(spark: SparkSession, folder: str) -> str:
-    """Path of the one-minute window table of all events, landed once per application."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _LANDED:
-        path = scratch_path(spark, "windows")
-        tables.write_windows(events_to_windows(read_events(spark, folder)), path)
-        _LANDED[key] = path
-    return _LANDED[key]
+    """Path of the one-minute window table of all events, landed anew."""
+    path = scratch_path(spark, "windows")
+    tables.write_windows(events_to_windows(read_events(spark, folder)), path)
+    return path
 
 
 def streamed_windows(spark: SparkSession, folder: str) -> str:
-    """Path of the same table as the streaming job lands it, run once per application."""
-    key = (spark.sparkContext.applicationId, f"stream of {folder}")
-    if key not in _LANDED:
-        path = scratch_path(spark, "stream")
-        messages = project.encode_events(stream_events(spark, folder))
-        job = run_stream(messages, path, scratch_path(spark, "stream-state"), trigger=CATCH_UP)
-        job.awaitTermination()
-        _LANDED[key] = path
-    return _LANDED[key]
+    """Path of the same table as the streaming job lands it, run anew."""
+    path = scratch_path(spark, "stream")
+    messages = project.encode_events(stream_events(spark, folder))
+    run_stream(messages, path, scratch_path(spark, "stream-state"), trigger=CATCH_UP).awaitTermination()
+    return path
 
 
 def _windows_sql(unit: str, source: str = "ev", extra: str = "") -> str:
@@ -274,12 +266,12 @@ WHERE sigma = 0 OR abs(avg_duration - mu) <= 3 * sigma
 GROUP BY device_type, date
 """)
 def q2_p95_from_windows(spark, folder):
-    windows = durable(events_to_windows(read_events(spark, folder)))
+    windows = tables.load_data(spark, landed_windows(spark, folder), schema=WINDOW_SCHEMA)
     return _p95_output(p95_from_windows(windows, min_events=GATE))
 
 
 @query(f"""
-WITH {FAULTY_SQL}, valid AS (SELECT * FROM faulty WHERE {VALID_SQL}), {_windows_sql('hour', 'valid')}
+WITH {FAULTY_SQL}, valid AS (SELECT * FROM faulty WHERE {VALID_SQL} AND event_id IS NOT NULL), {_windows_sql('hour', 'valid')}
 SELECT {WINDOW_OUTPUT_SQL}, {CALENDAR_SQL} FROM win
 """)
 def q3_events_to_windows(spark, folder):
@@ -561,8 +553,7 @@ def j1_remove_outliers(spark, folder):
     events = _dated(spark, folder)
     spread = A.qualified_spread(events, "value", "event_id", GATE)
     clean = outliers.remove_outliers(
-        events, spread.part(spread.frame.filter("qualified")), "value",
-        weights=spread.frame.select("device_type", "date", "rows"),
+        events, spread.part(spread.frame.filter("qualified")), "value"
     )
     return clean.select("event_id", "device_type", "date", "value", _r("mu"), _r("sigma"))
 
@@ -593,9 +584,23 @@ def j3_join_dimension(spark, folder):
     return joined.select("event_id", "c_name", "c_mktsegment")
 
 
-@query(INLIERS_SQL)
+@query(f"""
+WITH {EVENTS_SQL}, {_windows_sql('minute')},
+daily AS (SELECT *, CASE WHEN device_type <> 'view' THEN device_type END AS k, CAST(window_start AS DATE) AS date FROM win),
+stats AS (
+  SELECT k, date, avg(avg_duration) AS mu, CASE WHEN k <> 'click' THEN stddev_samp(avg_duration) END AS sigma
+  FROM daily GROUP BY k, date)
+SELECT window_start, daily.k AS device_type, date, event_count FROM daily JOIN stats USING (k, date)
+WHERE sigma = 0 OR abs(avg_duration - mu) <= 2 * sigma
+""")
 def x5_remove_outliers(spark, folder):
-    return j1_remove_outliers(spark, folder)
+    """From the window table: rows without a key and groups without a sigma have no inliers."""
+    rows = project.daily_window_rows(events_to_windows(read_events(spark, folder)))
+    rows = rows.withColumn("device_type", F.when(F.col("device_type") != "view", F.col("device_type")))
+    stats = durable(A.group_spread(rows, "avg_duration", ["device_type", "date"]))
+    stats = stats.withColumn("sigma", F.when(F.col("device_type") != "click", F.col("sigma")))
+    kept = outliers.remove_outliers(rows, stats, k=2.0)
+    return kept.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "device_type", "date", "event_count")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -814,6 +819,40 @@ def t3_stream_windows(spark, folder):
     return _window_output(_drain(spark, windows, "t3"))
 
 
+@query("""
+SELECT CAST(event_id AS VARCHAR) AS event_id, event_type AS device_type, ts AS "timestamp" FROM events
+WHERE value NOT BETWEEN 10 AND 20
+UNION ALL
+SELECT NULL, event_type, ts FROM events WHERE value BETWEEN 10 AND 20
+UNION ALL
+SELECT NULL, event_type, ts + INTERVAL 5 MINUTE FROM events WHERE value BETWEEN 10 AND 20
+""")
+def t2_missing_ids(spark, folder):
+    """Copies with an identifier go, events without one all stay."""
+    events = repeated_events(spark, folder)
+    events = events.withColumn("event_id", F.when(~F.col("value").between(10, 20), F.col("event_id")))
+    return dedup_events(events).select("event_id", "device_type", "timestamp")
+
+
+@query("SELECT 0::BIGINT AS only_batch, 0::BIGINT AS only_stream, count(*) > 0 AS compared FROM events")
+def t9_batch_equals_stream(spark, folder):
+    """Closed windows of the stream against those of the batch plan, row by row."""
+    columns = ["window_start", "window_end", "device_type", "event_count", "min_duration", "max_duration"]
+    events = read_events(spark, folder)
+    closed = events.select((F.max("timestamp").cast("timestamp") - F.expr("INTERVAL 10 MINUTES")).alias("until")).scalar()
+    batch = events_to_windows(events).withColumn("window_end", F.col("window_end").cast("timestamp"))
+    batch = batch.withColumn("window_start", F.col("window_start").cast("timestamp")).filter(F.col("window_end") <= closed)
+    stream = durable(spark.read.parquet(streamed_windows(spark, folder)).select(columns))
+    batch = durable(batch.select(columns))
+    rows = batch.withColumn("b", F.lit(1)).withColumn("s", F.lit(0)).unionByName(
+        stream.withColumn("b", F.lit(0)).withColumn("s", F.lit(1))
+    ).groupBy(*columns).agg(F.sum("b").alias("b"), F.sum("s").alias("s"))
+    return rows.agg(
+        F.count_if(F.col("b") > F.col("s")).alias("only_batch"), F.count_if(F.col("s") > F.col("b")).alias("only_stream"),
+        (F.sum("b") > 0).alias("compared"),
+    )
+
+
 def _drain(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """Run a stream over everything that is there and read what it wrote."""
     path = scratch_path(spark, name)
@@ -996,6 +1035,18 @@ def m7_silence_gaps(spark, folder):
     return metrics.silence_gaps(read_events(spark, folder), 300).withColumn("gap_seconds", _r("gap_seconds"))
 
 
+@query("""
+WITH last AS (SELECT event_type AS device_type, max(ts) AS gap_start FROM events GROUP BY ALL)
+SELECT device_type, gap_start, CAST(NULL AS TIMESTAMP) AS gap_end,
+       round((epoch_us(TIMESTAMP '2024-02-01 00:00:00') - epoch_us(gap_start)) / 1000000.0 + %s, 6) AS gap_seconds
+FROM last
+""" % TIE)
+def m7_open_silences(spark, folder):
+    """What has been silent since, seen from a later instant."""
+    gaps = metrics.silence_gaps(read_events(spark, folder), 300, still_open=True, until=datetime(2024, 2, 1))
+    return gaps.filter("gap_end IS NULL").withColumn("gap_seconds", _r("gap_seconds"))
+
+
 @query(_gaps_sql(1800))
 def m7_long_silence_gaps(spark, folder):
     return metrics.silence_gaps(read_events(spark, folder), 1800).withColumn("gap_seconds", _r("gap_seconds"))
@@ -1015,8 +1066,9 @@ def m8_error_rates(spark, folder):
 
 @query(f"""
 WITH {EVENTS_SQL}, {_windows_sql('minute')}
-SELECT {CALENDAR_SQL}, count(*) AS "rows", CAST(1 AS BIGINT) AS files FROM win GROUP BY ALL
+SELECT {CALENDAR_SQL}, count(*) AS "rows", TRUE AS has_files FROM win GROUP BY ALL
 """)
 def m10_landed_files(spark, folder):
-    """At this size the writer puts each hour into one file."""
-    return tables.landed_hours(spark, landed_windows(spark, folder))
+    """Rows of every hour, summed over its files; the number of files is the writer's choice."""
+    landed = tables.landed_hours(spark, landed_windows(spark, folder))
+    return landed.select(*PARTITION_COLUMNS, "rows", (F.col("files") > 0).alias("has_files"))

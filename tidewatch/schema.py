@@ -7,9 +7,9 @@ from pyspark.sql import types as T
 # Fixed values of the event contract.
 DEVICE_TYPES = ("temperature", "pressure", "humidity", "motion", "light")
 STATUSES = ("normal", "warning", "critical")
-DEVICE_ID_PATTERN = r"^device-\d{3}$"
-LOCATION_PATTERN = r"^zone-[A-E]$"
-FIRMWARE_PATTERN = r"^v\d\.\d\.\d$"
+DEVICE_ID_PATTERN = r"^device-\d{3}\z"
+LOCATION_PATTERN = r"^zone-[A-E]\z"
+FIRMWARE_PATTERN = r"^v\d\.\d\.\d\z"
 DURATION_RANGE_MS = (0, 1000)
 
 # Fixed defaults of the pipeline and of the daily percentile question.

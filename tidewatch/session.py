@@ -12,8 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Percentile sketches stay in hash tables for more groups before falling back to sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # Checkpoint files go when nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Methods beyond 8000 bytes of bytecode are never compiled by the JVM; a long list of rules is
     # faster as several smaller methods.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -48,6 +48,6 @@ def as_messages(events: DataFrame, partitions: int = 3, topic: str = "events") -
         *encode_columns(events.columns),
         F.lit(topic).alias("topic"),
         F.pmod(number, F.lit(partitions)).cast("int").alias("partition"),
-        F.floor(number / partitions).alias("offset"),
+        F.call_function("div", number, F.lit(partitions)).alias("offset"),
         "timestamp",
     )

@@ -37,11 +37,18 @@ def write_windows(windows: DataFrame, path: str, mode: str = "append") -> None:
     written by several tasks.
     """
     together = windows.hint("rebalance", *PARTITION_COLUMNS)
-    together.write.mode(mode).partitionBy(*PARTITION_COLUMNS).parquet(path)
+    writer = together.write.mode(mode).partitionBy(*PARTITION_COLUMNS)
+    # Overwriting replaces the hours that are written, never the other ones.
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def compact_days(spark: SparkSession, path: str, target: str, first_day: date, last_day: date) -> None:
-    """Rewrite closed days of ``path`` into ``target`` with few files per hour."""
+    """Rewrite closed days of ``path`` into ``target`` with few files per hour.
+
+    Hours of ``target`` that hold other days stay as they are.
+    """
+    if target.rstrip("/") == path.rstrip("/"):
+        raise ValueError("compact into another table: this one is read while its hours are replaced")
     write_windows(load_data(spark, path, first_day, last_day), target, mode="overwrite")
 
 
