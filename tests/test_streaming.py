@@ -187,7 +187,7 @@ def test_audit_names_what_is_missing(spark, tmp_path):
 
 
 def test_listener_collects_progress(spark, feed, tmp_path):
-    log = ProgressLog(keep=50)
+    log = ProgressLog(every=1)
     spark.streams.addListener(log)
     try:
         feed.add(event("a", "12:00:00"), event("b", "12:00:01"))
@@ -196,6 +196,7 @@ def test_listener_collects_progress(spark, feed, tmp_path):
     finally:
         spark.streams.removeListener(log)
     assert log.frame(spark).agg(F.sum("input_rows")).first()[0] == 2
+    assert log.unwritten == [] and spark.read.parquet(log.path).count() == log.frame(spark).count()
     assert not log.failures
 
 

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
-from collections import deque
 from collections.abc import Iterable, Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from tidewatch.shared import scratch_path
+
 PROGRESS_SCHEMA = (
     "query string, batch_id bigint, started timestamp, batch_ms bigint, input_rows bigint, "
     "input_rows_per_second double, processed_rows_per_second double, offsets_behind bigint, "
@@ -51,17 +52,26 @@ def recent_progress(query: StreamingQuery) -> DataFrame:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the last ``keep`` batch reports of all queries of a session."""
+    """All batch reports of a session's queries, as a table that outlives the driver.
+
+    Reports are appended to the Parquet table at ``path`` (default: a new one in the shared folder)
+    whenever ``every`` of them have come, and by :meth:`flush`; only those after that are held here.
+    """
 
-    def __init__(self, keep: int = 1000):
-        self.reports: deque[dict] = deque(maxlen=keep)
-        self.failures: deque[str] = deque(maxlen=keep)
+    def __init__(self, path: str | None = None, every: int = 100):
+        self.path = path or scratch_path(SparkSession.active(), "progress")
+        self.every = every
+        self.unwritten: list[dict] = []
+        self.failures: list[str] = []  # one for each query that failed
+        self.written = False
 
     def onQueryStarted(self, event) -> None:
         pass
 
     def onQueryProgress(self, event) -> None:
-        self.reports.append(json.loads(event.progress.json))
+        self.unwritten.append(json.loads(event.progress.json))
+        if len(self.unwritten) >= self.every:
+            self.flush()
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -70,5 +80,15 @@ class ProgressLog(StreamingQueryListener):
         if event.exception is not None:
             self.failures.append(event.exception)
 
+    def flush(self) -> None:
+        """Append what is held to the table."""
+        if self.unwritten:
+            reports, self.unwritten = self.unwritten, []
+            progress_frame(SparkSession.active(), reports).coalesce(1).write.mode("append").parquet(self.path)
+            self.written = True
+
     def frame(self, spark: SparkSession) -> DataFrame:
-        return progress_frame(spark, list(self.reports))
+        held = progress_frame(spark, list(self.unwritten))
+        if not self.written:
+            return held
+        return spark.read.schema(PROGRESS_SCHEMA).parquet(self.path).unionByName(held)
