@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -23,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
         return configured
     if active is not None:
         return active
-    if not context.master.startswith("local"):
+    if re.fullmatch(r"local(\[.*\])?", context.master) is None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-"))
     return context.getCheckpointDir()
