@@ -266,7 +266,9 @@ WHERE sigma = 0 OR abs(avg_duration - mu) <= 3 * sigma
 GROUP BY device_type, date
 """)
 def q2_p95_from_windows(spark, folder):
-    windows = tables.load_data(spark, landed_windows(spark, folder), schema=WINDOW_SCHEMA)
+    path = scratch_path(spark, "windows")
+    events_to_windows(read_events(spark, folder)).write.parquet(path)
+    windows = tables.load_data(spark, path, schema=WINDOW_SCHEMA)
     return _p95_output(p95_from_windows(windows, min_events=GATE))
 
 
