@@ -5,11 +5,16 @@ bits of some choice of the other pieces: every choice is a table of blocks. Bloc
 runs in a partition. There the fingerprints stand as bit planes, and one pass over the planes
 updates 64 distances at once with carry-save counters; words of 64 pairs are abandoned as soon as all
 of their pairs exceed the radius. Of the links found a partition keeps a spanning forest.
+
+``without_near_copies`` asks for a similarity of word shingles instead of a number of bits. Texts of
+that similarity differ in too many bits of a short fingerprint, so it compares fingerprints of 128
+bits over the distinct words, in blocks of sampled bits, keeps the closest links of every run and
+verifies them on the whole texts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations, repeat
 
 import numpy as np
@@ -23,6 +28,8 @@ from tidewatch.shared import durable
 
 TILE = 2048  # fingerprints of a block that meet in one task; larger blocks are dealt into tile pairs
 SHINGLES_AT_ONCE = 1 << 14
+LINKS_AT_ONCE = 1 << 20
+FORESTS = 3
 
 
 def fingerprint(text: bytes, words: int) -> int:
@@ -40,12 +47,11 @@ def fingerprint(text: bytes, words: int) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     """doc_id and the 64-bit ``fingerprint`` (as a signed long) of every whole text.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. A text of fewer words than a shingle
-    has one shingle; a null text, and one without words, has the fingerprint 0. ``keep`` names other
-    columns to carry along.
+    has one shingle; a null text, and one without words, has the fingerprint 0.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -53,13 +59,11 @@ def fingerprints(docs: DataFrame, words: int = 3, keep: tuple[str, ...] = ()) ->
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             values = np.array([fingerprint(t or b"", words) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values.view(np.int64)), *(batch.column(c) for c in keep)],
-                ["doc_id", "fingerprint", *keep],
+                [batch.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fingerprint"]
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
-    kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return texts.mapInArrow(read, "doc_id long, fingerprint long" + kept)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return texts.mapInArrow(read, "doc_id long, fingerprint long")
 
 
 def block_masks(radius: int) -> list[int]:
@@ -70,19 +74,19 @@ def block_masks(radius: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(parts, n - radius)] if radius else [(1 << 64) - 1]
 
 
-def close_runs(values: np.ndarray, ends: np.ndarray, radius: int) -> np.ndarray:
-    """A spanning forest of the pairs within the radius, as rows of two positions.
+def close_pairs(values: np.ndarray, ends: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs within the radius, as two arrays of positions at a time.
 
-    ``ends[i]`` is the end of the run that position ``i`` belongs to; only pairs of one run count.
-    Positions are compared with those ``shift`` further on, all at once, for one shift after another.
+    ``values`` holds a row of 64-bit parts per position. ``ends[i]`` is the end of the run that position
+    ``i`` belongs to; only pairs of one run count. Positions are compared with those ``shift`` further
+    on, all at once, for one shift after another.
     """
-    n, forest = len(values), []
-    root = np.arange(n)
+    n = len(values)
     if n < 2:
-        return np.zeros((0, 2), np.int64)
+        return
     n_words = -(-n // 64) + 1
-    planes = np.zeros((64, n_words), np.uint64)
-    bits = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    planes = np.zeros((64 * values.shape[1], n_words), np.uint64)
+    bits = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(n, -1), axis=1, bitorder="little")
     packed = np.packbits(bits.T, axis=1, bitorder="little")
     planes.view(np.uint8)[:, : packed.shape[1]] = packed
     n_counters = radius.bit_length()
@@ -126,13 +130,19 @@ def close_runs(values: np.ndarray, ends: np.ndarray, radius: int) -> np.ndarray:
             near = np.unpackbits((~far).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             row, bit = np.nonzero(near)
             first = words[row] * 64 + bit
-            second = first + shift
-            apart = root[first] != root[second]
-            for a, b in zip(first[apart].tolist(), second[apart].tolist()):
-                x, y = root[a], root[b]
-                if x != y:
-                    forest.append((a, b))
-                    root[root == max(x, y)] = min(x, y)
+            yield first, first + shift
+
+
+def close_runs(values: np.ndarray, ends: np.ndarray, radius: int) -> np.ndarray:
+    """A spanning forest of the pairs of 64-bit ``values`` within the radius, as rows of two positions."""
+    forest, root = [], np.arange(len(values))
+    for first, second in close_pairs(values.reshape(-1, 1), ends, radius):
+        apart = root[first] != root[second]
+        for a, b in zip(first[apart].tolist(), second[apart].tolist()):
+            x, y = root[a], root[b]
+            if x != y:
+                forest.append((a, b))
+                root[root == max(x, y)] = min(x, y)
     return np.array(forest, np.int64).reshape(-1, 2)
 
 
@@ -146,34 +156,46 @@ def near_links(distinct: DataFrame, radius: int) -> DataFrame:
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     keys = distinct.select("fingerprint", F.posexplode(F.array(*[F.col("fingerprint").bitwiseAND(F.lit(m)) for m in signed])))
     keys = keys.select("fingerprint", F.col("pos").alias("mask"), F.col("col").alias("bits"))
+
+    def links(rows: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
+        values = rows["fingerprint"].to_numpy()
+        found = values[close_runs(values.view(np.uint64), ends, radius)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found.min(axis=1, initial=2**63 - 1)), pa.array(found.max(axis=1, initial=-(2**63)))], ["a", "b"]
+        )
+
+    return compare_blocks(keys, "fingerprint", links, "a long, b long").distinct()
+
+
+def compare_blocks(
+    keys: DataFrame, node: str, links: Callable[[pa.Table, np.ndarray], pa.RecordBatch], schema: str
+) -> DataFrame:
+    """What ``links`` finds in the blocks of ``keys`` (mask, bits, ``node`` and others; equal mask and bits are a block).
+
+    ``links`` gets rows of whole runs and for each of them the end of its run. A block of more than
+    ``TILE`` nodes is dealt into parts by a hash, and every pair of parts is a run.
+    """
     # A side of its own, so that a large block can be split over tasks by the join.
     sizes = durable(keys.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     parts = F.ceil(F.col("n") / TILE)
-    part = F.pmod(F.xxhash64("fingerprint"), parts)
+    part = F.pmod(F.xxhash64(node), parts)
     met = keys.join(sizes, ["mask", "bits"]).select(
-        "fingerprint", "mask", "bits", part.alias("part"),
+        *keys.columns, part.alias("part"),
         F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"),
     )
-    runs = met.select(
-        "fingerprint", "mask", "bits", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")
-    )
+    runs = met.select(*keys.columns, F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
     run = ["mask", "bits", "low", "high"]
-    runs = runs.repartition(*run).sortWithinPartitions(*run, "fingerprint")
+    runs = runs.repartition(*run).sortWithinPartitions(*run, node)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
 
-        def links(rows: pa.Table) -> pa.RecordBatch:
+        def found(rows: pa.Table) -> pa.RecordBatch:
             columns = [rows[c].to_numpy() for c in run]
             new = np.ones(rows.num_rows, bool)
             new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
             starts = np.flatnonzero(new)
-            ends = np.append(starts[1:], rows.num_rows)[np.cumsum(new) - 1]
-            values = rows["fingerprint"].to_numpy()
-            found = values[close_runs(values.view(np.uint64), ends, radius)]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(found.min(axis=1, initial=2**63 - 1)), pa.array(found.max(axis=1, initial=-(2**63)))], ["a", "b"]
-            )
+            return links(rows, np.append(starts[1:], rows.num_rows)[np.cumsum(new) - 1])
 
         for batch in batches:
             if batch.num_rows == 0:
@@ -184,12 +206,12 @@ def near_links(distinct: DataFrame, radius: int) -> DataFrame:
             same = np.logical_and.reduce([held[c].to_numpy() == v for c, v in zip(run, last)])
             start = int(np.argmax(same))  # the last run may go on in the next batch
             if start:
-                yield links(held.slice(0, start))
+                yield found(held.slice(0, start))
                 held = held.slice(start)
         if held is not None:
-            yield links(held)
+            yield found(held)
 
-    return runs.mapInArrow(compare, "a long, b long").distinct()
+    return runs.mapInArrow(compare, schema)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -233,29 +255,213 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     return marked.join(named, "fingerprint").select("doc_id", hex_of("fingerprint"), "component_id")
 
 
-def rooted_fingerprints(
-    docs: DataFrame, words: int, radius: int, keep: tuple[str, ...] = ()
-) -> tuple[DataFrame, DataFrame]:
+def rooted_fingerprints(docs: DataFrame, words: int, radius: int) -> tuple[DataFrame, DataFrame]:
     """The marked rows, and every fingerprint with its smallest id and the root of its component."""
-    marked = durable(fingerprints(docs, words, keep))
+    marked = durable(fingerprints(docs, words))
     distinct = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     roots = components(near_links(distinct.select("fingerprint"), radius))
     rooted = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     return marked, durable(rooted.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")))
 
 
-def without_near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest ``doc_id``, then of a hash of its text.
+def word_print(words: set[bytes]) -> tuple[int, int]:
+    """The majority of each of 128 bits over the XXH3 hashes of distinct words, as two unsigned halves."""
+    counts, ordered = np.zeros(128, np.int64), list(words)
+    for start in range(0, len(ordered), SHINGLES_AT_ONCE):
+        part = b"".join(map(xxhash.xxh3_128_digest, ordered[start : start + SHINGLES_AT_ONCE]))
+        counts += np.unpackbits(np.frombuffer(part, np.uint8).reshape(-1, 16), axis=1).sum(axis=0, dtype=np.int64)
+    packed = np.packbits(2 * counts > len(ordered)).tobytes()
+    return int.from_bytes(packed[:8], "big"), int.from_bytes(packed[8:], "big")
+
 
-    A row without an id stays only if its whole component has none. Columns stay as they are; a
-    repeated row stays once.
+def word_prints(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Of every whole text ``node`` (a hash of its words in order) and its word print ``high``, ``low``."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            nodes, prints = [], []
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
+                tokens = (text or b"").lower().split()
+                nodes.append(xxhash.xxh3_64_intdigest(b" ".join(tokens)))
+                prints.append(word_print(set(tokens)))
+            halves = np.array(prints, np.uint64).reshape(-1, 2).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(halves[:, 0].copy()),
+                 pa.array(halves[:, 1].copy()), *(batch.column(c) for c in keep)],
+                ["node", "high", "low", *keep],
+            )
+
+    kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return docs.select("text", *keep).mapInArrow(read, "node long, high long, low long" + kept)
+
+
+def sampled_masks(tables: int, bits: int) -> list[tuple[int, int]]:
+    """Masks of ``bits`` of 128 bits, as signed halves; masks of one shuffle of the bits are disjoint."""
+    rng, masks = np.random.default_rng(42), []
+    while len(masks) < tables:
+        order = rng.permutation(128)
+        for start in range(0, 128 - bits + 1, bits):
+            mask = sum(1 << int(b) for b in order[start : start + bits])
+            masks.append(tuple(half - (1 << 64) if half >> 63 else half for half in (mask >> 64, mask & (1 << 64) - 1)))
+    return masks[:tables]
+
+
+def link_ranks(values: np.ndarray, node: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+    """A rank of every pair of positions: the distance first, then a hash of the two nodes."""
+    a, b = pairs.T
+    distance = np.bitwise_count(values[a] ^ values[b]).sum(axis=1, dtype=np.uint64)
+    names = node.view(np.uint64)
+    mixed = (names[a] ^ names[b]) * np.uint64(0x9E3779B97F4A7C15)
+    return distance << np.uint64(56) | mixed >> np.uint64(8)
+
+
+def closest_forest(
+    first: np.ndarray, second: np.ndarray, order: np.ndarray, n: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """The links of a minimum spanning forest and the root of every node; ``order`` has all links, the closest first.
+
+    Links at least as close as any threshold connect in the forest what they connect without it, so
+    a threshold may follow.
+    """
+    parent, forest = list(range(n)), []
+
+    def find(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    root = np.arange(n)
+    while True:
+        order = order[root[first[order]] != root[second[order]]]
+        if not len(order):
+            return np.array(forest, np.int64), root
+        best = np.full(n, len(order))
+        places = np.arange(len(order))[::-1]  # of several values for one place the last stays
+        best[root[first[order]][::-1]] = places
+        other = np.full(n, len(order))
+        other[root[second[order]][::-1]] = places
+        best = np.minimum(best, other)
+        for k in np.unique(best[best < len(order)]):
+            link = int(order[k])
+            x, y = find(int(first[link])), find(int(second[link]))
+            if x != y:
+                forest.append(link)
+                parent[max(x, y)] = min(x, y)
+        root = np.array([find(i) for i in range(n)])
+
+
+def candidate_links(nodes: DataFrame, radius: int, tables: int, bits: int) -> DataFrame:
+    """Links a < b between the rows of ``nodes`` (node, high, low; each node once) whose prints are close.
+
+    Two prints meet if they agree in one of ``tables`` samples of ``bits`` bits. Of every run its minimum
+    spanning forest by distance is kept, ties by the nodes, so that tables choose the same links; then the
+    forest of the links left, and so on, ``FORESTS`` in all. That is linear in the nodes, and a pair whose
+    closest link fails the verification has others.
+    """
+    masks = sampled_masks(tables, bits)
+    hashed = [F.xxhash64(F.col("high").bitwiseAND(F.lit(m)), F.col("low").bitwiseAND(F.lit(k))) for m, k in masks]
+    keys = nodes.select("node", "high", "low", F.posexplode(F.array(*hashed)))
+    keys = keys.select("node", F.col("high").alias("print_high"), F.col("low").alias("print_low"),
+                       F.col("pos").alias("mask"), F.col("col").alias("bits"))
+
+    def links(rows: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
+        values = np.stack([rows["print_high"].to_numpy(), rows["print_low"].to_numpy()], axis=1).view(np.uint64)
+        node, n = rows["node"].to_numpy(), rows.num_rows
+        kept = np.zeros((0, 2), np.int64)
+        ranks, root, worst = np.zeros(0, np.uint64), np.arange(n), np.zeros(n, np.uint64)
+        waiting, n_waiting = [], 0
+
+        def settle() -> None:
+            nonlocal kept, ranks, root, worst
+            new = np.concatenate(waiting)
+            rank = link_ranks(values, node, new)
+            inside = root[new[:, 0]] == root[new[:, 1]]
+            useful = ~inside | (rank < worst[root[new[:, 0]]])  # the forests have closer links for the others
+            new, rank = np.concatenate([kept, new[useful]]), np.concatenate([ranks, rank[useful]])
+            order, chosen = np.argsort(rank, kind="stable"), []
+            for _ in range(FORESTS):
+                forest, root = closest_forest(new[:, 0], new[:, 1], order, n)
+                order = order[~np.isin(order, forest)]
+                chosen.append(forest)
+            worst = np.zeros(n, np.uint64)
+            np.maximum.at(worst, root[new[forest, 0]], rank[forest])
+            chosen = np.concatenate(chosen)
+            kept, ranks = new[chosen], rank[chosen]
+
+        for pair in close_pairs(values, ends, radius):
+            waiting.append(np.stack(pair, axis=1))
+            n_waiting += len(pair[0])
+            if n_waiting > LINKS_AT_ONCE:
+                settle()
+                waiting, n_waiting = [], 0
+        if waiting:
+            settle()
+        found = node[kept]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(found.min(axis=1, initial=2**63 - 1)), pa.array(found.max(axis=1, initial=-(2**63)))], ["a", "b"]
+        )
+
+    return compare_blocks(keys, "node", links, "a long, b long").distinct()
+
+
+def shingle_set(text: bytes, words: int) -> set[int]:
+    tokens = text.lower().split()
+    shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words)))) if len(tokens) >= words else [b" ".join(tokens)]
+    return set(map(xxhash.xxh3_64_intdigest, shingles))
+
+
+def verified(links: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The ``links`` (a, b) whose ``texts`` (node, text) have that Jaccard similarity of distinct shingles at least."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, one = None, set()
+        for batch in batches:
+            close = np.zeros(batch.num_rows, bool)
+            columns = batch.column("text"), batch.column("other")
+            for i, (text, other) in enumerate(zip(*columns)):
+                if other.as_py() != held:
+                    held = other.as_py()
+                    one = shingle_set((held or "").encode(), words)
+                two = shingle_set((text.as_py() or "").encode(), words)
+                shared = len(one & two)
+                close[i] = shared >= similarity * (len(one) + len(two) - shared)
+            yield batch.select(["a", "b"]).filter(pa.array(close))
+
+    with_a = links.join(texts.withColumnRenamed("node", "a"), "a")
+    with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
+    return with_b.select("a", "b", "text", "other").mapInArrow(check, "a long, b long")
+
+
+def without_near_copies(
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 24, tables: int = 32, bits: int = 20
+) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the smallest ``doc_id``, then of a hash of its text.
+
+    Two texts are near copies if their sets of ``words``-word shingles (A-Z in lower case, words
+    ``[^\\x20\\x09-\\x0D]+``; fewer words: the whole sequence) have a Jaccard similarity of ``similarity``
+    or more; a group is what such links reach. Texts of the same words in the same order are one node (by a
+    64-bit hash) and never meet as pairs; null texts and texts without words are copies of each other.
+    Candidates are prints of the distinct words within ``radius`` of 128 bits that agree in one of the
+    ``tables`` samples of ``bits`` bits. Every link is verified on whole texts, so no text leaves without a
+    partner of that similarity in its group; the candidate search misses a few (see the README).
+
+    A row without an id stays only if its whole group has none. Columns stay as they are; a repeated row
+    stays once; an empty table gives no row.
     """
     tied = docs.withColumn("__tie", F.coalesce(F.xxhash64("text"), F.lit(0)))
-    marked, rooted = rooted_fingerprints(tied, words, radius, keep=("__tie",))
-    roots = marked.join(rooted.select("fingerprint", "root"), "fingerprint")
-    # Nulls come last in this order.
-    best = roots.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__tie")).alias("kept"))
-    best = best.select(F.col("kept.doc_id").alias("__id"), F.col("kept.__tie").alias("__kept"))
+    ids = tied.select(F.col("doc_id").alias("__id"), "__tie", "text")
+    marked = durable(word_prints(ids, keep=("__id", "__tie")))
+    first = F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__tie")).alias("kept")
+    nodes = durable(marked.groupBy("node").agg(F.first("high").alias("high"), F.first("low").alias("low"), first))
+    links = durable(candidate_links(nodes.select("node", "high", "low"), radius, tables, bits))
+    linked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    chosen = nodes.join(linked, "node").select("node", F.col("kept.__id").alias("__id"), F.col("kept.__tie").alias("__tie"))
+    same = ids["__id"].eqNullSafe(chosen["__id"]) & (ids["__tie"] == chosen["__tie"])
+    texts = durable(ids.join(chosen, same).select("node", "text").dropDuplicates(["node"]))
+    roots = components(verified(links, texts, words, similarity))
+    grouped = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("kept").alias("kept"))
+    best = grouped.select(F.col("kept.__id").alias("__id"), F.col("kept.__tie").alias("__kept"))
     same = tied["doc_id"].eqNullSafe(F.col("__id")) & (tied["__tie"] == F.col("__kept"))
     return tied.join(best, same, "left_semi").dropDuplicates(["doc_id", "__tie"]).drop("__tie")
 
