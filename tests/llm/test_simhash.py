@@ -202,3 +202,18 @@ def test_near_copies_of_the_check_table(spark):
     docs = table(spark, CHECK_FOLDER, "documents")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     assert sorted(r["doc_id"] for r in without_near_copies(docs).collect()) == near_copies(rows)
+
+
+@pytest.mark.parametrize("tile", [2048, 64])
+def test_copies_of_a_hub_that_are_no_near_copies_of_each_other(spark, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefghij", k=7))
+    base, texts = [word() for _ in range(300)], []
+    for _ in range(200):  # 6 edits, apart from each other: 30 of 296 shingles
+        copy = list(base)
+        for block in rng.sample(range(30), 6):
+            copy[10 * block + 5] = word()
+        texts.append(" ".join(copy))
+    texts.insert(100, " ".join(base))
+    assert [r["doc_id"] for r in without_near_copies(documents(spark, texts)).collect()] == [0] == near_copies(list(enumerate(texts)))

@@ -7,9 +7,9 @@ updates 64 distances at once with carry-save counters; words of 64 pairs are aba
 of their pairs exceed the radius. Of the links found a partition keeps a spanning forest.
 
 ``without_near_copies`` asks for a similarity of word shingles instead of a number of bits. Texts of
-that similarity differ in too many bits of a short fingerprint, so it compares fingerprints of 128
-bits over the distinct words, in blocks of sampled bits, keeps the closest links of every run and
-verifies them on the whole texts.
+that similarity differ in too many bits for blocks of equal bits, so its candidates come from an exact
+prefix filter on the shingles; every pair it leaves open is compared on whole shingle sets, the closest
+fingerprints first.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from tidewatch.shared import durable
 TILE = 2048  # fingerprints of a block that meet in one task; larger blocks are dealt into tile pairs
 SHINGLES_AT_ONCE = 1 << 14
 LINKS_AT_ONCE = 1 << 20
-FORESTS = 3
+COMMON_ROWS, COMMON_SHINGLES = 20_000, 1 << 18  # a sample only to order the shingles by; any order gives the same links
 
 
 def fingerprint(text: bytes, words: int) -> int:
@@ -168,22 +168,24 @@ def near_links(distinct: DataFrame, radius: int) -> DataFrame:
 
 
 def compare_blocks(
-    keys: DataFrame, node: str, links: Callable[[pa.Table, np.ndarray], pa.RecordBatch], schema: str
+    keys: DataFrame, node: str, links: Callable[[pa.Table, np.ndarray], pa.RecordBatch], schema: str,
+    weight: Column | None = None,
 ) -> DataFrame:
     """What ``links`` finds in the blocks of ``keys`` (mask, bits, ``node`` and others; equal mask and bits are a block).
 
     ``links`` gets rows of whole runs and for each of them the end of its run. A block of more than
-    ``TILE`` nodes is dealt into parts by a hash, and every pair of parts is a run.
+    ``TILE`` nodes (or of that ``weight``) is dealt into ``part`` s by a hash, and every pair of parts is a run.
     """
     # A side of its own, so that a large block can be split over tasks by the join.
-    sizes = durable(keys.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
-    parts = F.ceil(F.col("n") / TILE)
+    load = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    sizes = durable(keys.groupBy("mask", "bits").agg(F.count(F.lit(1)).alias("n"), load.alias("load")).where("n > 1"))
+    parts = F.ceil(F.col("load") / TILE)
     part = F.pmod(F.xxhash64(node), parts)
     met = keys.join(sizes, ["mask", "bits"]).select(
         *keys.columns, part.alias("part"),
         F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("other"),
     )
-    runs = met.select(*keys.columns, F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
+    runs = met.select(*keys.columns, "part", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"))
     run = ["mask", "bits", "low", "high"]
     runs = runs.repartition(*run).sortWithinPartitions(*run, node)
 
@@ -264,35 +266,72 @@ def rooted_fingerprints(docs: DataFrame, words: int, radius: int) -> tuple[DataF
     return marked, durable(rooted.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")))
 
 
-def word_print(words: set[bytes]) -> tuple[int, int]:
-    """The majority of each of 128 bits over the XXH3 hashes of distinct words, as two unsigned halves."""
-    counts, ordered = np.zeros(128, np.int64), list(words)
-    for start in range(0, len(ordered), SHINGLES_AT_ONCE):
-        part = b"".join(map(xxhash.xxh3_128_digest, ordered[start : start + SHINGLES_AT_ONCE]))
-        counts += np.unpackbits(np.frombuffer(part, np.uint8).reshape(-1, 16), axis=1).sum(axis=0, dtype=np.int64)
-    packed = np.packbits(2 * counts > len(ordered)).tobytes()
-    return int.from_bytes(packed[:8], "big"), int.from_bytes(packed[8:], "big")
+def shingle_hashes(tokens: list[bytes], words: int) -> np.ndarray:
+    """The distinct 63-bit hashes of all shingles in order; fewer words than a shingle are one shingle."""
+    n = len(tokens) - words + 1
+    if n < 1:
+        return np.array([xxhash.xxh3_64_intdigest(b" ".join(tokens)) >> 1], np.uint64)
+    each = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
+    hashes = np.zeros(n, np.uint64)
+    for i in range(words):
+        hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + each[i : i + n]
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= np.uint64(0xD6E8FEB86659FD93)
+    return np.unique((hashes ^ hashes >> np.uint64(32)) >> np.uint64(1))
 
 
-def word_prints(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Of every whole text ``node`` (a hash of its words in order) and its word print ``high``, ``low``."""
+def prefix_length(n: np.ndarray | int, similarity: float) -> np.ndarray:
+    """How many of a set's ``n`` shingles, the first in any one order, meet those of every set that similar.
+
+    A partner shares ``ceil(similarity * n)`` shingles at least; the first shared one has the others behind it.
+    """
+    return (n - np.ceil(similarity * np.asarray(n) - 1e-9) + 1).astype(np.int64)
+
+
+def common_shingles(texts: DataFrame, words: int) -> np.ndarray:
+    """Shingles in five texts or more of a sample, in order: they come last in the order of the prefixes."""
+    share = min(1.0, COMMON_ROWS / max(1, texts.count()))
+    sampled = texts.select("text").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, "text"):
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
+                hashes = shingle_hashes((text or b"").lower().split(), words)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["shingle"])
+
+    counts = sampled.mapInArrow(read, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
+    # COMMON_SHINGLES numbers at most, whatever the input.
+    top = counts.where("n >= 5").orderBy(F.desc("n"), "shingle").limit(COMMON_SHINGLES).select("shingle").toArrow()
+    return np.sort(top["shingle"].to_numpy().view(np.uint64))
+
+
+def prefixes(docs: DataFrame, words: int, similarity: float, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Of every whole text ``node`` (a hash of its words in order) and the ``prefix`` of its shingles."""
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = common.value
         for batch in pieces(batches, "text"):
-            nodes, prints = [], []
+            nodes, firsts = [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 tokens = (text or b"").lower().split()
                 nodes.append(xxhash.xxh3_64_intdigest(b" ".join(tokens)))
-                prints.append(word_print(set(tokens)))
-            halves = np.array(prints, np.uint64).reshape(-1, 2).view(np.int64)
+                hashes = shingle_hashes(tokens, words)
+                behind = np.zeros(len(hashes), bool)
+                if len(last):
+                    behind = last[np.minimum(np.searchsorted(last, hashes), len(last) - 1)] == hashes
+                ordered = np.concatenate([hashes[~behind], hashes[behind]])
+                firsts.append(ordered[: int(prefix_length(len(hashes), similarity))])
+            ends = np.cumsum([0, *map(len, firsts)])
+            flat = np.concatenate(firsts).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(halves[:, 0].copy()),
-                 pa.array(halves[:, 1].copy()), *(batch.column(c) for c in keep)],
-                ["node", "high", "low", *keep],
+                [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                 *(batch.column(c) for c in keep)],
+                ["node", "prefix", *keep],
             )
 
     kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select("text", *keep).mapInArrow(read, "node long, high long, low long" + kept)
+    return docs.select("text", *keep).mapInArrow(read, "node long, prefix array<long>" + kept)
 
 
 def sampled_masks(tables: int, bits: int) -> list[tuple[int, int]]:
@@ -306,15 +345,6 @@ def sampled_masks(tables: int, bits: int) -> list[tuple[int, int]]:
     return masks[:tables]
 
 
-def link_ranks(values: np.ndarray, node: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-    """A rank of every pair of positions: the distance first, then a hash of the two nodes."""
-    a, b = pairs.T
-    distance = np.bitwise_count(values[a] ^ values[b]).sum(axis=1, dtype=np.uint64)
-    names = node.view(np.uint64)
-    mixed = (names[a] ^ names[b]) * np.uint64(0x9E3779B97F4A7C15)
-    return distance << np.uint64(56) | mixed >> np.uint64(8)
-
-
 def closest_forest(
     first: np.ndarray, second: np.ndarray, order: np.ndarray, n: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -351,64 +381,51 @@ def closest_forest(
         root = np.array([find(i) for i in range(n)])
 
 
-def candidate_links(nodes: DataFrame, radius: int, tables: int, bits: int) -> DataFrame:
-    """Links a < b between the rows of ``nodes`` (node, high, low; each node once) whose prints are close.
+def similar_links(texts: list[bytes], part: np.ndarray, root: np.ndarray, words: int, similarity: float) -> list[tuple[int, int]]:
+    """Links of that similarity that connect what all such pairs connect beyond equal ``root`` s, as pairs of positions.
 
-    Two prints meet if they agree in one of ``tables`` samples of ``bits`` bits. Of every run its minimum
-    spanning forest by distance is kept, ties by the nodes, so that tables choose the same links; then the
-    forest of the links left, and so on, ``FORESTS`` in all. That is linear in the nodes, and a pair whose
-    closest link fails the verification has others.
+    Exact: a prefix filter in the order of the frequencies here, then whole sets, the closest SimHashes first.
+    Texts of equal root are not compared; if there are two parts, only pairs across them are.
     """
-    masks = sampled_masks(tables, bits)
-    hashed = [F.xxhash64(F.col("high").bitwiseAND(F.lit(m)), F.col("low").bitwiseAND(F.lit(k))) for m, k in masks]
-    keys = nodes.select("node", "high", "low", F.posexplode(F.array(*hashed)))
-    keys = keys.select("node", F.col("high").alias("print_high"), F.col("low").alias("print_low"),
-                       F.col("pos").alias("mask"), F.col("col").alias("bits"))
-
-    def links(rows: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
-        values = np.stack([rows["print_high"].to_numpy(), rows["print_low"].to_numpy()], axis=1).view(np.uint64)
-        node, n = rows["node"].to_numpy(), rows.num_rows
-        kept = np.zeros((0, 2), np.int64)
-        ranks, root, worst = np.zeros(0, np.uint64), np.arange(n), np.zeros(n, np.uint64)
-        waiting, n_waiting = [], 0
-
-        def settle() -> None:
-            nonlocal kept, ranks, root, worst
-            new = np.concatenate(waiting)
-            rank = link_ranks(values, node, new)
-            inside = root[new[:, 0]] == root[new[:, 1]]
-            useful = ~inside | (rank < worst[root[new[:, 0]]])  # the forests have closer links for the others
-            new, rank = np.concatenate([kept, new[useful]]), np.concatenate([ranks, rank[useful]])
-            order, chosen = np.argsort(rank, kind="stable"), []
-            for _ in range(FORESTS):
-                forest, root = closest_forest(new[:, 0], new[:, 1], order, n)
-                order = order[~np.isin(order, forest)]
-                chosen.append(forest)
-            worst = np.zeros(n, np.uint64)
-            np.maximum.at(worst, root[new[forest, 0]], rank[forest])
-            chosen = np.concatenate(chosen)
-            kept, ranks = new[chosen], rank[chosen]
-
-        for pair in close_pairs(values, ends, radius):
-            waiting.append(np.stack(pair, axis=1))
-            n_waiting += len(pair[0])
-            if n_waiting > LINKS_AT_ONCE:
-                settle()
-                waiting, n_waiting = [], 0
-        if waiting:
-            settle()
-        found = node[kept]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(found.min(axis=1, initial=2**63 - 1)), pa.array(found.max(axis=1, initial=-(2**63)))], ["a", "b"]
-        )
-
-    return compare_blocks(keys, "node", links, "a long, b long").distinct()
+    sets = [shingle_hashes(t.lower().split(), words) for t in texts]
+    sizes = np.array([len(x) for x in sets])
+    prints = np.array([
+        np.packbits(2 * np.unpackbits((x << np.uint64(1)).view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64) > len(x))
+        for x in sets
+    ]).view(np.uint64).ravel()
+    _, shingle, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.lexsort((shingle, counts[shingle], owner))
+    place = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner]
+    order = order[(place < prefix_length(sizes, similarity)[owner]) & (counts[shingle[order]] > 1)]
+    shingle, owner = shingle[order], owner[order]
+    by_shingle = np.argsort(shingle, kind="stable")
+    holders, held = owner[by_shingle], shingle[by_shingle]
+    lows, highs = np.searchsorted(held, shingle, "left"), np.searchsorted(held, shingle, "right")
+    own = np.searchsorted(owner, np.arange(len(sets) + 1))
+    crossing, root, links = part.min() != part.max(), root.copy(), []
+    for j in range(len(sets)):
+        met = np.zeros(j, bool)
+        for k in range(own[j], own[j + 1]):
+            others = holders[lows[k] : highs[k]]
+            met[others[: np.searchsorted(others, j)]] = True
+        near = np.flatnonzero(met)
+        near = near[root[near] != root[j]]
+        if crossing:
+            near = near[part[near] != part[j]]
+        near = near[np.minimum(sizes[near], sizes[j]) >= similarity * np.maximum(sizes[near], sizes[j]) - 1e-9]
+        for i in near[np.argsort(np.bitwise_count(prints[near] ^ prints[j]), kind="stable")].tolist():
+            if root[i] == root[j]:
+                continue
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if shared >= similarity * (sizes[i] + sizes[j] - shared):
+                links.append((i, j))
+                root[root == root[j]] = root[i]
+    return links
 
 
 def shingle_set(text: bytes, words: int) -> set[int]:
-    tokens = text.lower().split()
-    shingles = map(b" ".join, zip(*(tokens[i:] for i in range(words)))) if len(tokens) >= words else [b" ".join(tokens)]
-    return set(map(xxhash.xxh3_64_intdigest, shingles))
+    return set(shingle_hashes(text.lower().split(), words).tolist())
 
 
 def verified(links: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
@@ -433,33 +450,65 @@ def verified(links: DataFrame, texts: DataFrame, words: int, similarity: float)
     return with_b.select("a", "b", "text", "other").mapInArrow(check, "a long, b long")
 
 
-def without_near_copies(
-    docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = 24, tables: int = 32, bits: int = 20
-) -> DataFrame:
+def without_near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the smallest ``doc_id``, then of a hash of its text.
 
     Two texts are near copies if their sets of ``words``-word shingles (A-Z in lower case, words
     ``[^\\x20\\x09-\\x0D]+``; fewer words: the whole sequence) have a Jaccard similarity of ``similarity``
     or more; a group is what such links reach. Texts of the same words in the same order are one node (by a
     64-bit hash) and never meet as pairs; null texts and texts without words are copies of each other.
-    Candidates are prints of the distinct words within ``radius`` of 128 bits that agree in one of the
-    ``tables`` samples of ``bits`` bits. Every link is verified on whole texts, so no text leaves without a
-    partner of that similarity in its group; the candidate search misses a few (see the README).
+
+    The groups are those of all pairs (shingles are told apart by 63 bits). Near copies share one of the first
+    ``prefix_length`` shingles of any one order. First every node is verified against one node it shares most
+    of them with. A shingle whose nodes are then in one group is settled. The nodes of the open ones, with
+    what these connect, are compared pair by pair; only nodes already in one group are not.
 
     A row without an id stays only if its whole group has none. Columns stay as they are; a repeated row
     stays once; an empty table gives no row.
     """
     tied = docs.withColumn("__tie", F.coalesce(F.xxhash64("text"), F.lit(0)))
     ids = tied.select(F.col("doc_id").alias("__id"), "__tie", "text")
-    marked = durable(word_prints(ids, keep=("__id", "__tie")))
+    marked = durable(prefixes(ids, words, similarity, keep=("__id", "__tie")))
     first = F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__tie")).alias("kept")
-    nodes = durable(marked.groupBy("node").agg(F.first("high").alias("high"), F.first("low").alias("low"), first))
-    links = durable(candidate_links(nodes.select("node", "high", "low"), radius, tables, bits))
-    linked = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    nodes = durable(marked.groupBy("node").agg(first))
+    keys = marked.select("node", F.explode("prefix").alias("key"))
+    # A side of its own, so that a common shingle can be split over tasks by the join.
+    shared = durable(keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub < most").select("key", "hub"))
+    keys = durable(keys.join(shared, "key").distinct())
+
+    meeting = keys.where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
+    closest = meeting.groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best"))
+    links = closest.select(F.col("best.hub").alias("a"), F.col("node").alias("b"))
+    linked = keys.select("node").distinct()
     chosen = nodes.join(linked, "node").select("node", F.col("kept.__id").alias("__id"), F.col("kept.__tie").alias("__tie"))
     same = ids["__id"].eqNullSafe(chosen["__id"]) & (ids["__tie"] == chosen["__tie"])
     texts = durable(ids.join(chosen, same).select("node", "text").dropDuplicates(["node"]))
-    roots = components(verified(links, texts, words, similarity))
+    found = durable(verified(links, texts, words, similarity))
+
+    roots = components(found)
+    rooted = keys.join(roots, "node", "left").select("key", "node", "hub", F.coalesce("root", "node").alias("root"))
+    open_ = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
+    open_ = durable(open_.select("key"))
+    rooted = durable(rooted.join(open_, "key").select("node", "hub", "root").distinct())
+    clusters = components(rooted.select(F.col("hub").alias("a"), F.col("node").alias("b")))
+    members = rooted.select("node", F.col("root").alias("known")).distinct().join(clusters.withColumnRenamed("root", "bits"), "node")
+    members = members.join(texts, "node").select("node", "known", "text", F.lit(0).alias("mask"), "bits")
+
+    def compare(rows: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
+        node, known, part = (rows[c].to_numpy() for c in ("node", "known", "part"))
+        pairs = []
+        for stop in np.unique(ends).tolist():
+            start = int(np.searchsorted(ends, stop))
+            run = [t or b"" for t in rows["text"].slice(start, stop - start).cast(pa.binary()).to_pylist()]
+            for i, j in similar_links(run, part[start:stop], known[start:stop], words, similarity):
+                pairs.append((node[start + i], node[start + j]))
+        pairs = np.array(pairs, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=1, initial=2**63 - 1)), pa.array(pairs.max(axis=1, initial=-(2**63)))], ["a", "b"])
+
+    # A part has up to 512 nodes or 4 MB of text.
+    load = F.greatest(F.lit(TILE / 512), F.coalesce(F.octet_length("text"), F.lit(0)) * TILE / (4 << 20))
+    more = compare_blocks(members, "node", compare, "a long, b long", load)
+    roots = components(found.unionByName(more))
     grouped = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("kept").alias("kept"))
     best = grouped.select(F.col("kept.__id").alias("__id"), F.col("kept.__tie").alias("__kept"))
     same = tied["doc_id"].eqNullSafe(F.col("__id")) & (tied["__tie"] == F.col("__kept"))
