@@ -217,3 +217,15 @@ def test_copies_of_a_hub_that_are_no_near_copies_of_each_other(spark, monkeypatc
         texts.append(" ".join(copy))
     texts.insert(100, " ".join(base))
     assert [r["doc_id"] for r in without_near_copies(documents(spark, texts)).collect()] == [0] == near_copies(list(enumerate(texts)))
+
+
+def test_pairs_with_a_block_edit_near_the_similarity(spark):
+    rng = random.Random(22)
+    word = lambda: "".join(rng.choices("abcdefghij", k=7))
+    texts = []
+    for n in (60, 100, 250, 600, 1000):
+        for part in (0.10, 0.17, 0.22):  # Jaccard 0.9, 0.84 and 0.81 of what is appended
+            for _ in range(6):
+                base = [word() for _ in range(n)]
+                texts += [" ".join(base), " ".join(base + [word() for _ in range(int(part * n))])]
+    assert sorted(r["doc_id"] for r in without_near_copies(documents(spark, texts)).collect()) == list(range(0, len(texts), 2))
