@@ -56,3 +56,14 @@ def test_awkward_rows(spark):
     assert score_toxicity(empty(spark), model).collect() == []
     assert train(empty(spark), few.limit(0)).score("x") == 0.25
     assert isinstance(fit([]), Model)
+
+
+def test_a_sample_that_caps_one_class_keeps_the_shares(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = train(docs, labels, sample_rows=305)  # all of the toxic ones, an eighth of the others
+    held = labels.where("crc32(cast(cast(doc_id as string) as binary)) % 3 = 1").select("doc_id", "toxic")
+    rows = score_toxicity(docs.join(held, "doc_id"), model).select("score", "toxic").collect()
+    said = [r["toxic"] for r in rows if r["score"] >= 0.7]
+    assert sum(said) > 0.6 * len(said)  # 0.4 if toxic and others count alike
+    assert sum(said) > 0.6 * sum(r["toxic"] for r in rows)

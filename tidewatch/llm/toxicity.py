@@ -106,15 +106,15 @@ class Model:
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Ridge-penalised logistic weights by Newton steps, on standardised features."""
+def _logistic(x: np.ndarray, y: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Ridge-penalised logistic weights by Newton steps, on standardised features; a sample row stands for ``rows`` rows."""
     mean, scale = x[:, 1:].mean(axis=0), x[:, 1:].std(axis=0) + 1e-9
     z = np.column_stack([np.ones(len(x)), (x[:, 1:] - mean) / scale])
     w = np.zeros(z.shape[1])
     ridge = np.diag([1e-6] + [1.0] * (z.shape[1] - 1))
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve(z.T @ (z * (p * (1 - p) + 1e-9)[:, None]) + ridge, z.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve(z.T @ (z * (rows * p * (1 - p) + 1e-9)[:, None]) + ridge, z.T @ (rows * (y - p)) - ridge @ w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
@@ -122,18 +122,19 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.array([w[0] - plain @ mean, *plain])
 
 
-def fit(rows: list[tuple[int, str, int]]) -> Model:
-    """A model from labelled (doc_id, text, toxic) rows.
+def fit(rows: list[tuple[int, str, int]], totals: dict[int, int] | None = None) -> Model:
+    """A model from labelled (doc_id, text, toxic) rows, a sample of as many of each class as ``totals`` (default: all).
 
     Every fold's documents get features from dictionaries of the other folds; the curve is fitted on
-    these, and shifted so that ``THRESHOLD`` lies where the F1 of these documents is best. Without
-    documents of both classes the score is the constant share of toxic ones.
+    these, and shifted so that ``THRESHOLD`` lies where the F1 of these documents is best. In both a
+    document counts as many times as its class has documents for each of the sample. Without documents of both classes the score is the constant share of toxic ones.
     """
     rows = sorted(rows)
     fold = [zlib.crc32(f"fold {doc_id}".encode()) % FOLDS for doc_id, *_ in rows]
     kinds = [[t for _, t, x in rows if x == kind] for kind in (1, 0)]
+    counts = {kind: (totals or {}).get(kind, len(texts)) for kind, texts in zip((1, 0), kinds)}
     if min(map(len, kinds)) < 6:
-        share = (len(kinds[0]) + 0.5) / (len(rows) + 2)
+        share = (counts[1] + 0.5) / (counts[0] + counts[1] + 2)
         return Model(b"", b"", (math.log(share / (1 - share)), 0, 0, 0, 0, 0, 0))
     features = [[0.0]] * len(rows)
     for k in range(FOLDS):
@@ -143,11 +144,12 @@ def fit(rows: list[tuple[int, str, int]]) -> Model:
             if fold[i] == k:
                 features[i] = model.features(text)
     x, y = np.array(features), np.array([t for *_, t in rows], float)
-    weights = _logistic(x, y)
+    each = np.where(y == 1, counts[1] / len(kinds[0]), counts[0] / len(kinds[1]))
+    weights = _logistic(x, y, each)
     z = x @ weights
     order = np.argsort(-z, kind="stable")
-    hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    hits = np.cumsum((each * y)[order])
+    f1 = 2 * hits / (np.cumsum(each[order]) + counts[1])
     best = int(np.argmax(f1))
     edge = (z[order[best]] + z[order[min(best + 1, len(y) - 1)]]) / 2
     weights[0] += math.log(THRESHOLD / (1 - THRESHOLD)) - edge
@@ -165,12 +167,14 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """A model from at most ``sample_rows`` labelled documents of each class, taken by a hash of the id.
 
     Rows with a null id or label, held-out ids, and documents without text or of more than
-    ``SAMPLE_CHARS`` are not learned from. Of several labels of a document the largest counts.
+    ``SAMPLE_CHARS`` are not learned from. Of several labels of a document the largest counts. Documents
+    of a class stand for all of that class that can be learned from, so the shares are those of the whole table.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
     usable = usable.groupBy(F.col("doc_id").alias("__id")).agg(F.max("toxic").alias("__toxic"))
     texts = docs.where(F.length("text").between(1, SAMPLE_CHARS)).select("doc_id", "text")
     ids = texts.select(F.col("doc_id").alias("__id")).distinct().join(usable, "__id")
+    totals = {int(r["__toxic"]): r["count"] for r in ids.groupBy("__toxic").count().collect()}
     chosen = None
     for kind in (0, 1):
         part = ids.where(F.col("__toxic") == kind).orderBy(F.xxhash64("__id"), "__id").limit(sample_rows)
@@ -178,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     # At most 2 x sample_rows ids are broadcast, and their texts collected.
     sample = texts.join(F.broadcast(chosen), texts["doc_id"] == F.col("__id"))
     sample = sample.groupBy("__id").agg(F.min("text").alias("text"), F.max("__toxic").alias("toxic"))
-    return fit([(r["__id"], r["text"], int(r["toxic"])) for r in sample.collect()])
+    return fit([(r["__id"], r["text"], int(r["toxic"])) for r in sample.collect()], totals)
 
 
 def score_toxicity(docs: DataFrame, model: Model) -> DataFrame:
