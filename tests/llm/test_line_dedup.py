@@ -69,3 +69,14 @@ def test_awkward_rows(spark):
     docs = documents(spark, [line] * 6, ids=[None, None, 1, 1, 2, 3])
     assert [r[2] for r in result(dedup_lines(docs))] == [0] * 6
     assert dedup_lines(empty(spark)).collect() == []
+
+
+def test_rows_without_id_get_their_own_lost_lines(spark, monkeypatch):
+    lists = []
+    kept = line_dedup.lost_lines
+    monkeypatch.setattr(line_dedup, "lost_lines", lambda df: lists.append(kept(df)) or lists[-1])
+    lines = [f"a line of the corpus with number {i:03d} and some more" for i in range(40)]
+    ids = [*range(8), *[None] * 40]
+    docs = documents(spark, ["\n".join(lines)] * 8 + lines, ids=ids)
+    assert result(dedup_lines(docs)) == brute(rows_of(docs))
+    assert sorted(len(r["__lost"]) for r in lists[0].collect()) == [1] * 40 + [40] * 7

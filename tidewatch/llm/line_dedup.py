@@ -117,6 +117,11 @@ def twice_filter(docs: DataFrame, least: int) -> np.ndarray:
     return merged
 
 
+def lost_lines(losing: DataFrame) -> DataFrame:
+    """The ``__lost`` keys of each row (doc_id, row): never more than the row has lines."""
+    return losing.groupBy("doc_id", "row").agg(F.collect_set("key").alias("__lost"))
+
+
 def dedup_lines(docs: DataFrame, least_length: int = 40, least_documents: int = 5) -> DataFrame:
     """``docs`` with ``text`` without repeated lines, and ``n_lines``, ``n_dropped``.
 
@@ -129,27 +134,30 @@ def dedup_lines(docs: DataFrame, least_length: int = 40, least_documents: int =
     of which nothing is left becomes an empty text, a null text too.
     """
     spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # A row's own key: rows of one id (or of none) would else gather all their lost lines in one list.
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("row"))
     bits = spark.sparkContext.broadcast(twice_filter(texts, least_length))
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         twice = bits.value
         n_bits = 8 * len(twice)
         for batch in pieces(batches, "text"):
-            ids, keys = [], []
-            for doc_id, lines in zip(batch.column("doc_id").to_pylist(), text_lines(batch)):
+            ids, rows, keys = [], [], []
+            for doc_id, row, lines in zip(batch.column("doc_id").to_pylist(), batch.column("row").to_pylist(), text_lines(batch)):
                 own = {k for line in lines if (k := long_key(line, least_length)) is not None}
                 ids.extend([doc_id] * len(own))
+                rows.extend([row] * len(own))
                 keys.extend(own)
             hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, keys), np.uint64, len(keys))
             kept = np.flatnonzero(_has(twice, hashes, n_bits)).tolist()
             yield pa.RecordBatch.from_arrays([
-                pa.array([ids[i] for i in kept], pa.int64()), pa.array([keys[i] for i in kept], pa.binary()),
-            ], ["doc_id", "key"])
+                pa.array([ids[i] for i in kept], pa.int64()), pa.array([rows[i] for i in kept], pa.int64()),
+                pa.array([keys[i] for i in kept], pa.binary()),
+            ], ["doc_id", "row", "key"])
 
     path = scratch_path(spark, "lines")
-    texts.mapInArrow(suspects, "doc_id long, key binary").write.parquet(path)
-    suspected = spark.read.schema("doc_id long, key binary").parquet(path)
+    texts.mapInArrow(suspects, "doc_id long, row long, key binary").write.parquet(path)
+    suspected = spark.read.schema("doc_id long, row long, key binary").parquet(path)
     # A struct is never null, and orders a null id below all others.
     of = F.struct("doc_id")
     repeated = suspected.groupBy("key").agg(F.count_distinct(of).alias("n"), F.max(of).alias("keeper"))
@@ -157,9 +165,9 @@ def dedup_lines(docs: DataFrame, least_length: int = 40, least_documents: int =
     # A side of its own, so that a line with very many documents can be split over tasks by the join.
     repeated = durable(repeated)
     losing = suspected.join(repeated, "key").where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
-    losing = losing.groupBy("doc_id").agg(F.collect_set("key").alias("__lost"))
-    losing = losing.withColumnRenamed("doc_id", "__id")
-    joined = docs.join(losing, docs["doc_id"].cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
+    losing = lost_lines(losing).withColumnsRenamed({"doc_id": "__id", "row": "__row"})
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__row"))
+    joined = docs.join(losing, same, "left").drop("__id", "__row")
 
     columns = [f for f in docs.schema.fields if f.name not in ("n_lines", "n_dropped")]
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in columns] + ["n_lines long", "n_dropped long"])
