@@ -29,6 +29,7 @@ from tidewatch.shared import durable
 TILE = 2048  # fingerprints of a block that meet in one task; larger blocks are dealt into tile pairs
 SHINGLES_AT_ONCE = 1 << 14
 LINKS_AT_ONCE = 1 << 20
+FEW = 64  # nodes of a prefix shingle up to which its pairs are rows
 COMMON_ROWS, COMMON_SHINGLES = 20_000, 1 << 18  # a sample only to order the shingles by; any order gives the same links
 
 
@@ -306,17 +307,18 @@ def common_shingles(texts: DataFrame, words: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, words: int, similarity: float, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Of every whole text ``node`` (a hash of its words in order) and the ``prefix`` of its shingles."""
+    """Of every whole text ``node`` (a hash of its words in order), ``n`` shingles and their ``prefix``."""
     common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = common.value
         for batch in pieces(batches, "text"):
-            nodes, firsts = [], []
+            nodes, firsts, counts = [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 tokens = (text or b"").lower().split()
                 nodes.append(xxhash.xxh3_64_intdigest(b" ".join(tokens)))
                 hashes = shingle_hashes(tokens, words)
+                counts.append(len(hashes))
                 behind = np.zeros(len(hashes), bool)
                 if len(last):
                     behind = last[np.minimum(np.searchsorted(last, hashes), len(last) - 1)] == hashes
@@ -325,13 +327,13 @@ def prefixes(docs: DataFrame, words: int, similarity: float, keep: tuple[str, ..
             ends = np.cumsum([0, *map(len, firsts)])
             flat = np.concatenate(firsts).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                  *(batch.column(c) for c in keep)],
-                ["node", "prefix", *keep],
+                ["node", "n", "prefix", *keep],
             )
 
     kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select("text", *keep).mapInArrow(read, "node long, prefix array<long>" + kept)
+    return docs.select("text", *keep).mapInArrow(read, "node long, n long, prefix array<long>" + kept)
 
 
 def sampled_masks(tables: int, bits: int) -> list[tuple[int, int]]:
@@ -450,6 +452,27 @@ def verified(links: DataFrame, texts: DataFrame, words: int, similarity: float)
     return with_b.select("a", "b", "text", "other").mapInArrow(check, "a long, b long")
 
 
+def possible_pairs(keys: DataFrame, similarity: float) -> DataFrame:
+    """Pairs a < b of ``keys`` (key, node, n, pos, root), of different roots, that share enough of their prefixes.
+
+    Shingles of both texts beyond the last prefix shingle they share lie behind it in both, and outside the
+    prefix that ends first. With those shared in the prefixes they bound what the texts share. A pair that also
+    shares a shingle missing in ``keys`` may be left out: it is compared where that shingle is.
+    """
+    sides = [
+        keys.select("key", F.col("node").alias(c), F.col("root").alias(f"root_{c}"), F.col("n").alias(f"n_{c}"), F.col("pos").alias(f"pos_{c}"))
+        for c in "ab"
+    ]
+    n_a, n_b = F.col("n_a"), F.col("n_b")
+    met = sides[0].join(sides[1], "key").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")))
+    met = met.where(F.least(n_a, n_b) >= similarity * F.greatest(n_a, n_b) - 1e-9)
+    met = met.groupBy("a", "b", "n_a", "n_b").agg(
+        F.count(F.lit(1)).alias("shared"), F.max("pos_a").alias("pos_a"), F.max("pos_b").alias("pos_b")
+    )
+    left = F.least(n_a - F.col("pos_a") - 1, n_b - F.col("pos_b") - 1, F.ceil(similarity * F.greatest(n_a, n_b) - 1e-9) - 1)
+    return met.where(F.col("shared") + left >= similarity / (1 + similarity) * (n_a + n_b) - 1e-9).select("a", "b")
+
+
 def without_near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` with one row of each group of near copies: that of the smallest ``doc_id``, then of a hash of its text.
 
@@ -460,8 +483,9 @@ def without_near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8
 
     The groups are those of all pairs (shingles are told apart by 63 bits). Near copies share one of the first
     ``prefix_length`` shingles of any one order. First every node is verified against one node it shares most
-    of them with. A shingle whose nodes are then in one group is settled. The nodes of the open ones, with
-    what these connect, are compared pair by pair; only nodes already in one group are not.
+    of them with. A shingle whose nodes are then in one group is settled. Pairs of an open one with ``FEW``
+    nodes are verified if their prefixes leave the similarity possible; nodes of the larger ones, with what these
+    connect, are compared in tile pairs. Only nodes already in one group are not.
 
     A row without an id stays only if its whole group has none. Columns stay as they are; a repeated row
     stays once; an empty table gives no row.
@@ -471,7 +495,7 @@ def without_near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8
     marked = durable(prefixes(ids, words, similarity, keep=("__id", "__tie")))
     first = F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__tie")).alias("kept")
     nodes = durable(marked.groupBy("node").agg(first))
-    keys = marked.select("node", F.explode("prefix").alias("key"))
+    keys = marked.select("node", "n", F.posexplode("prefix").alias("pos", "key"))
     # A side of its own, so that a common shingle can be split over tasks by the join.
     shared = durable(keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub < most").select("key", "hub"))
     keys = durable(keys.join(shared, "key").distinct())
@@ -486,10 +510,14 @@ def without_near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8
     found = durable(verified(links, texts, words, similarity))
 
     roots = components(found)
-    rooted = keys.join(roots, "node", "left").select("key", "node", "hub", F.coalesce("root", "node").alias("root"))
-    open_ = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most")).where("least < most")
-    open_ = durable(open_.select("key"))
-    rooted = durable(rooted.join(open_, "key").select("node", "hub", "root").distinct())
+    rooted = keys.join(roots, "node", "left").select("key", "node", "n", "pos", "hub", F.coalesce("root", "node").alias("root"))
+    open_ = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("holders"))
+    open_ = durable(open_.where("least < most").select("key", "holders"))
+    rooted = durable(rooted.join(open_, "key"))
+    pairs = possible_pairs(rooted.where(F.col("holders") <= FEW), similarity)
+    found = durable(found.unionByName(verified(pairs, texts, words, similarity)))
+
+    rooted = durable(rooted.where(F.col("holders") > FEW).select("node", "hub", "root").distinct())
     clusters = components(rooted.select(F.col("hub").alias("a"), F.col("node").alias("b")))
     members = rooted.select("node", F.col("root").alias("known")).distinct().join(clusters.withColumnRenamed("root", "bits"), "node")
     members = members.join(texts, "node").select("node", "known", "text", F.lit(0).alias("mask"), "bits")
