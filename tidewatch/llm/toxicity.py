@@ -28,6 +28,7 @@ LEVEL = 9
 ORDINARY_BYTES, TOXIC_BYTES = 32 << 10, 2 << 10
 SAMPLE_ROWS = 4000  # labelled documents of each class that a model is fitted on
 SAMPLE_CHARS = 50_000  # longer documents are left out of that sample (never out of scoring)
+SAMPLE_WINDOWS = 30_000  # ordinary windows of that sample, by crc32, that the ordinary dictionary is trained on
 BEGINNINGS = (4, 5, 6, 7, 8, 9, 10)
 FOLDS = 3
 THRESHOLD = 0.7
@@ -82,7 +83,7 @@ class Model:
         toxic = [b" ".join(t.encode().lower().split()) for t in toxic]
         ordinary = [b" ".join(t.encode().lower().split()) for t in ordinary]
         spread = [w for t in ordinary for w in windows(t)]
-        spread = sorted(spread, key=zlib.crc32)[:30_000]
+        spread = sorted(spread, key=zlib.crc32)[:SAMPLE_WINDOWS]
         return Model(_trained(ORDINARY_BYTES, spread), _trained(TOXIC_BYTES, [b" " + w for w in _telling(toxic, ordinary)]))
 
     def features(self, text) -> list[float]:
@@ -167,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """A model from at most ``sample_rows`` labelled documents of each class, taken by a hash of the id.
 
     Rows with a null id or label, held-out ids, and documents without text or of more than
-    ``SAMPLE_CHARS`` are not learned from. Of several labels of a document the largest counts. Documents
+    ``SAMPLE_CHARS`` are not learned from; the ordinary dictionary is trained on ``SAMPLE_WINDOWS`` windows. Of several labels of a document the largest counts. Documents
     of a class stand for all of that class that can be learned from, so the shares are those of the whole table.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
