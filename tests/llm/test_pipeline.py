@@ -10,7 +10,7 @@ from tests.conftest import CHECK_FOLDER
 from tests.llm.helpers import awkward
 from tests.llm.test_line_dedup import brute as lines_of
 from tests.llm.test_mixing import targets
-from tests.llm.test_simhash import near_copies
+from tests.llm.test_simhash import single as one_of_each
 from tests.llm.test_tokens import packed
 from tidewatch.llm.common import table
 from tidewatch.llm.mixing import WORD
@@ -46,7 +46,7 @@ def test_stages(spark, tmp_path):
     assert sorted(pairs(deduped)) == sorted((i, t) for i, _, _, t in lines_of(pairs(clean)))
     assert all(r["n_chars"] == len(r["text"]) for r in deduped.collect())
 
-    assert sorted(i for i, _ in pairs(single)) == near_copies(pairs(deduped))
+    assert sorted(i for i, _ in pairs(single)) == one_of_each(pairs(deduped))
 
     words = lambda t: len(re.findall(WORD, t or ""))
     before, after, taken = Counter(), Counter(), defaultdict(int)

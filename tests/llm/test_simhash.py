@@ -13,8 +13,7 @@ from tidewatch.llm import simhash
 from tidewatch.llm.common import table
 from tidewatch.llm.queries import LLM_QUERIES
 from tidewatch.llm.simhash import (
-    block_masks, closest_forest, close_runs, components, fingerprint, near_duplicates, near_links, sampled_masks,
-    without_near_copies,
+    block_masks, close_runs, components, fingerprint, near_duplicates, near_links, without_near_duplicates,
 )
 
 
@@ -54,26 +53,9 @@ def brute(rows, radius=2):
     return sorted(((d, f"{p:016x}", least.get(group[i])) for i, ((d, _), p) in enumerate(zip(rows, prints))), key=repr)
 
 
-def near_copies(rows, words=5, similarity=0.8):
-    """The smallest id of every group, from all pairs of distinct texts (ids without null)."""
-    ids = {}
-    for doc_id, text in rows:
-        tokens = tuple((text or "").encode().lower().split())
-        ids[tokens] = min(doc_id, ids.get(tokens, doc_id))
-    texts = list(ids)
-    sets = [{t[i : i + words] for i in range(max(1, len(t) - words + 1))} for t in texts]
-    near = []
-    for i, j in combinations(range(len(texts)), 2):
-        a, b = len(sets[i]), len(sets[j])
-        if min(a, b) >= similarity * max(a, b):
-            shared = len(sets[i] & sets[j])
-            if shared >= similarity * (a + b - shared):
-                near.append((i, j))
-    group = grouped(range(len(texts)), near)
-    least = {}
-    for i, t in enumerate(texts):
-        least[group[i]] = min(ids[t], least.get(group[i], ids[t]))
-    return sorted(least.values())
+def single(rows, radius=2):
+    """The ids that stay: the smallest of every component (None for a component without ids)."""
+    return sorted({c for _, _, c in brute(rows, radius)}, key=lambda c: (c is None, c or 0))
 
 
 def result(df):
@@ -152,80 +134,20 @@ def test_check_table(spark):
     assert result(LLM_QUERIES["op10_simhash"](spark, CHECK_FOLDER)) == brute(rows)
 
 
-def test_forest_keeps_what_any_threshold_connects():
-    rng = random.Random(3)
-    for _ in range(40):
-        pairs = [p for p in combinations(range(12), 2) if rng.random() < 0.4]
-        costs = np.array([rng.randrange(6) for _ in pairs])
-        first, second = np.array(pairs).T
-        forest, root = closest_forest(first, second, np.argsort(costs, kind="stable"), 12)
-        assert dict(enumerate(root.tolist())) == grouped(range(12), pairs)
-        for limit in range(6):
-            wanted = grouped(range(12), [p for p, c in zip(pairs, costs) if c <= limit])
-            assert grouped(range(12), [pairs[k] for k in forest if costs[k] <= limit]) == wanted
-
-
-def test_sampled_masks():
-    masks = sampled_masks(32, 20)
-    assert len(set(masks)) == 32 and masks == sampled_masks(32, 20)
-    assert {((h & (1 << 64) - 1).bit_count() + (k & (1 << 64) - 1).bit_count()) for h, k in masks} == {20}
-
-
-@pytest.mark.parametrize("tile, at_once", [(2048, 1 << 20), (16, 50)])
-def test_near_copies_of_one_text(spark, monkeypatch, tile, at_once):
-    monkeypatch.setattr(simhash, "TILE", tile)
-    monkeypatch.setattr(simhash, "LINKS_AT_ONCE", at_once)
-    rng = random.Random(9)
-    word = lambda: "".join(rng.choices("abcdefghij", k=6))
-    base, texts = [word() for _ in range(150)], []
-    for _ in range(60):  # one word of each differs: far above the similarity
-        copy = list(base)
-        copy[rng.randrange(150)] = word()
-        texts.append(" ".join(copy))
-    texts += [texts[0], texts[0].upper(), " ".join(texts[1].split()[75:] + texts[1].split()[:70]), None, "", "few words", "few  words"]
-    texts += [" ".join(word() for _ in range(100)) for _ in range(20)]
-    rows = list(enumerate(texts))
-    kept = sorted(r["doc_id"] for r in without_near_copies(documents(spark, texts)).collect())
-    assert kept == near_copies(rows)
-    assert kept[0] == 0 and len(kept) == 1 + 1 + 1 + 20  # the group, no words, few words, the others
-
-
-def test_near_copies_of_awkward_rows(spark):
-    docs = awkward(spark).withColumnsRenamed({"size": "node", "start": "high", "key": "a"})
-    kept = without_near_copies(docs)
+def test_one_row_of_each_component_stays(spark):
+    docs = awkward(spark).withColumnsRenamed({"size": "tie", "start": "fingerprint", "key": "root"})
+    kept = without_near_duplicates(docs)
     assert kept.columns == docs.columns
-    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 2, 4, 6]
-    assert without_near_copies(empty(spark)).collect() == []
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=lambda c: (c is None, c or 0)) == single(rows)
+    assert without_near_duplicates(empty(spark)).collect() == []
+    # One id with two texts: each row goes with its own component.
+    texts = documents(spark, ["a b c d e", "v w x y z", "v w x y z", None], ids=[1, 1, 0, None])
+    kept = sorted((r["doc_id"], r["text"]) for r in without_near_duplicates(texts).where("doc_id IS NOT NULL").collect())
+    assert kept == [(0, "v w x y z"), (1, "a b c d e")]
 
 
-def test_near_copies_of_the_check_table(spark):
+def test_rows_that_stay_of_the_check_table(spark):
     docs = table(spark, CHECK_FOLDER, "documents")
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
-    assert sorted(r["doc_id"] for r in without_near_copies(docs).collect()) == near_copies(rows)
-
-
-@pytest.mark.parametrize("tile", [2048, 64])
-def test_copies_of_a_hub_that_are_no_near_copies_of_each_other(spark, monkeypatch, tile):
-    monkeypatch.setattr(simhash, "TILE", tile)
-    rng = random.Random(21)
-    word = lambda: "".join(rng.choices("abcdefghij", k=7))
-    base, texts = [word() for _ in range(300)], []
-    for _ in range(200):  # 6 edits, apart from each other: 30 of 296 shingles
-        copy = list(base)
-        for block in rng.sample(range(30), 6):
-            copy[10 * block + 5] = word()
-        texts.append(" ".join(copy))
-    texts.insert(100, " ".join(base))
-    assert [r["doc_id"] for r in without_near_copies(documents(spark, texts)).collect()] == [0] == near_copies(list(enumerate(texts)))
-
-
-def test_pairs_with_a_block_edit_near_the_similarity(spark):
-    rng = random.Random(22)
-    word = lambda: "".join(rng.choices("abcdefghij", k=7))
-    texts = []
-    for n in (60, 100, 250, 600, 1000):
-        for part in (0.10, 0.17, 0.22):  # Jaccard 0.9, 0.84 and 0.81 of what is appended
-            for _ in range(6):
-                base = [word() for _ in range(n)]
-                texts += [" ".join(base), " ".join(base + [word() for _ in range(int(part * n))])]
-    assert sorted(r["doc_id"] for r in without_near_copies(documents(spark, texts)).collect()) == list(range(0, len(texts), 2))
+    assert sorted(r["doc_id"] for r in without_near_duplicates(docs).collect()) == single(rows)

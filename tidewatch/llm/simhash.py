@@ -5,11 +5,6 @@ bits of some choice of the other pieces: every choice is a table of blocks. Bloc
 runs in a partition. There the fingerprints stand as bit planes, and one pass over the planes
 updates 64 distances at once with carry-save counters; words of 64 pairs are abandoned as soon as all
 of their pairs exceed the radius. Of the links found a partition keeps a spanning forest.
-
-``without_near_copies`` asks for a similarity of word shingles instead of a number of bits. Texts of
-that similarity differ in too many bits for blocks of equal bits, so its candidates come from an exact
-prefix filter on the shingles; every pair it leaves open is compared on whole shingle sets, the closest
-fingerprints first.
 """
 
 from __future__ import annotations
@@ -28,9 +23,6 @@ from tidewatch.shared import durable
 
 TILE = 2048  # fingerprints of a block that meet in one task; larger blocks are dealt into tile pairs
 SHINGLES_AT_ONCE = 1 << 14
-LINKS_AT_ONCE = 1 << 20
-FEW = 64  # nodes of a prefix shingle up to which its pairs are rows
-COMMON_ROWS, COMMON_SHINGLES = 20_000, 1 << 18  # a sample only to order the shingles by; any order gives the same links
 
 
 def fingerprint(text: bytes, words: int) -> int:
@@ -48,8 +40,8 @@ def fingerprint(text: bytes, words: int) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """doc_id and the 64-bit ``fingerprint`` (as a signed long) of every whole text.
+def fingerprints(docs: DataFrame, words: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the 64-bit ``fingerprint`` (as a signed long) of every whole text, and the columns ``keep``.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower case. A text of fewer words than a shingle
     has one shingle; a null text, and one without words, has the fingerprint 0.
@@ -60,11 +52,13 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             values = np.array([fingerprint(t or b"", words) for t in texts], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values.view(np.int64))], ["doc_id", "fingerprint"]
+                [batch.column("doc_id"), pa.array(values.view(np.int64)), *(batch.column(c) for c in keep)],
+                ["doc_id", "fingerprint", *keep],
             )
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.mapInArrow(read, "doc_id long, fingerprint long")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *keep)
+    kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return texts.mapInArrow(read, "doc_id long, fingerprint long" + kept)
 
 
 def block_masks(radius: int) -> list[int]:
@@ -258,289 +252,32 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     return marked.join(named, "fingerprint").select("doc_id", hex_of("fingerprint"), "component_id")
 
 
-def rooted_fingerprints(docs: DataFrame, words: int, radius: int) -> tuple[DataFrame, DataFrame]:
+def rooted_fingerprints(
+    docs: DataFrame, words: int, radius: int, keep: tuple[str, ...] = ()
+) -> tuple[DataFrame, DataFrame]:
     """The marked rows, and every fingerprint with its smallest id and the root of its component."""
-    marked = durable(fingerprints(docs, words))
+    marked = durable(fingerprints(docs, words, keep))
     distinct = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
     roots = components(near_links(distinct.select("fingerprint"), radius))
     rooted = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left")
     return marked, durable(rooted.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")))
 
 
-def shingle_hashes(tokens: list[bytes], words: int) -> np.ndarray:
-    """The distinct 63-bit hashes of all shingles in order; fewer words than a shingle are one shingle."""
-    n = len(tokens) - words + 1
-    if n < 1:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(tokens)) >> 1], np.uint64)
-    each = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens))
-    hashes = np.zeros(n, np.uint64)
-    for i in range(words):
-        hashes = hashes * np.uint64(0x9E3779B97F4A7C15) + each[i : i + n]
-    hashes ^= hashes >> np.uint64(32)
-    hashes *= np.uint64(0xD6E8FEB86659FD93)
-    return np.unique((hashes ^ hashes >> np.uint64(32)) >> np.uint64(1))
-
-
-def prefix_length(n: np.ndarray | int, similarity: float) -> np.ndarray:
-    """How many of a set's ``n`` shingles, the first in any one order, meet those of every set that similar.
-
-    A partner shares ``ceil(similarity * n)`` shingles at least; the first shared one has the others behind it.
-    """
-    return (n - np.ceil(similarity * np.asarray(n) - 1e-9) + 1).astype(np.int64)
-
-
-def common_shingles(texts: DataFrame, words: int) -> np.ndarray:
-    """Shingles in five texts or more of a sample, in order: they come last in the order of the prefixes."""
-    share = min(1.0, COMMON_ROWS / max(1, texts.count()))
-    sampled = texts.select("text").where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)))
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, "text"):
-            for text in batch.column("text").cast(pa.binary()).to_pylist():
-                hashes = shingle_hashes((text or b"").lower().split(), words)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["shingle"])
-
-    counts = sampled.mapInArrow(read, "shingle long").groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    # COMMON_SHINGLES numbers at most, whatever the input.
-    top = counts.where("n >= 5").orderBy(F.desc("n"), "shingle").limit(COMMON_SHINGLES).select("shingle").toArrow()
-    return np.sort(top["shingle"].to_numpy().view(np.uint64))
-
-
-def prefixes(docs: DataFrame, words: int, similarity: float, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Of every whole text ``node`` (a hash of its words in order), ``n`` shingles and their ``prefix``."""
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, words))
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = common.value
-        for batch in pieces(batches, "text"):
-            nodes, firsts, counts = [], [], []
-            for text in batch.column("text").cast(pa.binary()).to_pylist():
-                tokens = (text or b"").lower().split()
-                nodes.append(xxhash.xxh3_64_intdigest(b" ".join(tokens)))
-                hashes = shingle_hashes(tokens, words)
-                counts.append(len(hashes))
-                behind = np.zeros(len(hashes), bool)
-                if len(last):
-                    behind = last[np.minimum(np.searchsorted(last, hashes), len(last) - 1)] == hashes
-                ordered = np.concatenate([hashes[~behind], hashes[behind]])
-                firsts.append(ordered[: int(prefix_length(len(hashes), similarity))])
-            ends = np.cumsum([0, *map(len, firsts)])
-            flat = np.concatenate(firsts).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(counts, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                 *(batch.column(c) for c in keep)],
-                ["node", "n", "prefix", *keep],
-            )
-
-    kept = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select("text", *keep).mapInArrow(read, "node long, n long, prefix array<long>" + kept)
-
-
-def sampled_masks(tables: int, bits: int) -> list[tuple[int, int]]:
-    """Masks of ``bits`` of 128 bits, as signed halves; masks of one shuffle of the bits are disjoint."""
-    rng, masks = np.random.default_rng(42), []
-    while len(masks) < tables:
-        order = rng.permutation(128)
-        for start in range(0, 128 - bits + 1, bits):
-            mask = sum(1 << int(b) for b in order[start : start + bits])
-            masks.append(tuple(half - (1 << 64) if half >> 63 else half for half in (mask >> 64, mask & (1 << 64) - 1)))
-    return masks[:tables]
-
-
-def closest_forest(
-    first: np.ndarray, second: np.ndarray, order: np.ndarray, n: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """The links of a minimum spanning forest and the root of every node; ``order`` has all links, the closest first.
-
-    Links at least as close as any threshold connect in the forest what they connect without it, so
-    a threshold may follow.
-    """
-    parent, forest = list(range(n)), []
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    root = np.arange(n)
-    while True:
-        order = order[root[first[order]] != root[second[order]]]
-        if not len(order):
-            return np.array(forest, np.int64), root
-        best = np.full(n, len(order))
-        places = np.arange(len(order))[::-1]  # of several values for one place the last stays
-        best[root[first[order]][::-1]] = places
-        other = np.full(n, len(order))
-        other[root[second[order]][::-1]] = places
-        best = np.minimum(best, other)
-        for k in np.unique(best[best < len(order)]):
-            link = int(order[k])
-            x, y = find(int(first[link])), find(int(second[link]))
-            if x != y:
-                forest.append(link)
-                parent[max(x, y)] = min(x, y)
-        root = np.array([find(i) for i in range(n)])
-
-
-def similar_links(texts: list[bytes], part: np.ndarray, root: np.ndarray, words: int, similarity: float) -> list[tuple[int, int]]:
-    """Links of that similarity that connect what all such pairs connect beyond equal ``root`` s, as pairs of positions.
-
-    Exact: a prefix filter in the order of the frequencies here, then whole sets, the closest SimHashes first.
-    Texts of equal root are not compared; if there are two parts, only pairs across them are.
-    """
-    sets = [shingle_hashes(t.lower().split(), words) for t in texts]
-    sizes = np.array([len(x) for x in sets])
-    prints = np.array([
-        np.packbits(2 * np.unpackbits((x << np.uint64(1)).view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64) > len(x))
-        for x in sets
-    ]).view(np.uint64).ravel()
-    _, shingle, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    order = np.lexsort((shingle, counts[shingle], owner))
-    place = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner]
-    order = order[(place < prefix_length(sizes, similarity)[owner]) & (counts[shingle[order]] > 1)]
-    shingle, owner = shingle[order], owner[order]
-    by_shingle = np.argsort(shingle, kind="stable")
-    holders, held = owner[by_shingle], shingle[by_shingle]
-    lows, highs = np.searchsorted(held, shingle, "left"), np.searchsorted(held, shingle, "right")
-    own = np.searchsorted(owner, np.arange(len(sets) + 1))
-    crossing, root, links = part.min() != part.max(), root.copy(), []
-    for j in range(len(sets)):
-        met = np.zeros(j, bool)
-        for k in range(own[j], own[j + 1]):
-            others = holders[lows[k] : highs[k]]
-            met[others[: np.searchsorted(others, j)]] = True
-        near = np.flatnonzero(met)
-        near = near[root[near] != root[j]]
-        if crossing:
-            near = near[part[near] != part[j]]
-        near = near[np.minimum(sizes[near], sizes[j]) >= similarity * np.maximum(sizes[near], sizes[j]) - 1e-9]
-        for i in near[np.argsort(np.bitwise_count(prints[near] ^ prints[j]), kind="stable")].tolist():
-            if root[i] == root[j]:
-                continue
-            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if shared >= similarity * (sizes[i] + sizes[j] - shared):
-                links.append((i, j))
-                root[root == root[j]] = root[i]
-    return links
-
-
-def shingle_set(text: bytes, words: int) -> set[int]:
-    return set(shingle_hashes(text.lower().split(), words).tolist())
-
-
-def verified(links: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The ``links`` (a, b) whose ``texts`` (node, text) have that Jaccard similarity of distinct shingles at least."""
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, one = None, set()
-        for batch in batches:
-            close = np.zeros(batch.num_rows, bool)
-            columns = batch.column("text"), batch.column("other")
-            for i, (text, other) in enumerate(zip(*columns)):
-                if other.as_py() != held:
-                    held = other.as_py()
-                    one = shingle_set((held or "").encode(), words)
-                two = shingle_set((text.as_py() or "").encode(), words)
-                shared = len(one & two)
-                close[i] = shared >= similarity * (len(one) + len(two) - shared)
-            yield batch.select(["a", "b"]).filter(pa.array(close))
-
-    with_a = links.join(texts.withColumnRenamed("node", "a"), "a")
-    with_b = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("other")), "b")
-    return with_b.select("a", "b", "text", "other").mapInArrow(check, "a long, b long")
-
-
-def possible_pairs(keys: DataFrame, similarity: float) -> DataFrame:
-    """Pairs a < b of ``keys`` (key, node, n, pos, root), of different roots, that share enough of their prefixes.
-
-    Shingles of both texts beyond the last prefix shingle they share lie behind it in both, and outside the
-    prefix that ends first. With those shared in the prefixes they bound what the texts share. A pair that also
-    shares a shingle missing in ``keys`` may be left out: it is compared where that shingle is.
-    """
-    sides = [
-        keys.select("key", F.col("node").alias(c), F.col("root").alias(f"root_{c}"), F.col("n").alias(f"n_{c}"), F.col("pos").alias(f"pos_{c}"))
-        for c in "ab"
-    ]
-    n_a, n_b = F.col("n_a"), F.col("n_b")
-    met = sides[0].join(sides[1], "key").where((F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b")))
-    met = met.where(F.least(n_a, n_b) >= similarity * F.greatest(n_a, n_b) - 1e-9)
-    met = met.groupBy("a", "b", "n_a", "n_b").agg(
-        F.count(F.lit(1)).alias("shared"), F.max("pos_a").alias("pos_a"), F.max("pos_b").alias("pos_b")
-    )
-    left = F.least(n_a - F.col("pos_a") - 1, n_b - F.col("pos_b") - 1, F.ceil(similarity * F.greatest(n_a, n_b) - 1e-9) - 1)
-    return met.where(F.col("shared") + left >= similarity / (1 + similarity) * (n_a + n_b) - 1e-9).select("a", "b")
-
-
-def without_near_copies(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one row of each group of near copies: that of the smallest ``doc_id``, then of a hash of its text.
-
-    Two texts are near copies if their sets of ``words``-word shingles (A-Z in lower case, words
-    ``[^\\x20\\x09-\\x0D]+``; fewer words: the whole sequence) have a Jaccard similarity of ``similarity``
-    or more; a group is what such links reach. Texts of the same words in the same order are one node (by a
-    64-bit hash) and never meet as pairs; null texts and texts without words are copies of each other.
-
-    The groups are those of all pairs (shingles are told apart by 63 bits). Near copies share one of the first
-    ``prefix_length`` shingles of any one order. First every node is verified against one node it shares most
-    of them with. A shingle whose nodes are then in one group is settled. Pairs of an open one with ``FEW``
-    nodes are verified if their prefixes leave the similarity possible; nodes of the larger ones, with what these
-    connect, are compared in tile pairs. Only nodes already in one group are not.
+def without_near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
+    """``docs`` with one row of each component of :func:`near_duplicates`: that of the smallest ``doc_id``, then of a hash of its text.
 
-    A row without an id stays only if its whole group has none. Columns stay as they are; a repeated row
-    stays once; an empty table gives no row.
+    Null texts and texts without words are one group. A row without an id stays only if its whole group
+    has none. Columns stay as they are, whatever their names; a repeated row stays once; an empty
+    table gives no row. A text of any length is one fingerprint.
     """
-    tied = docs.withColumn("__tie", F.coalesce(F.xxhash64("text"), F.lit(0)))
-    ids = tied.select(F.col("doc_id").alias("__id"), "__tie", "text")
-    marked = durable(prefixes(ids, words, similarity, keep=("__id", "__tie")))
-    first = F.min(F.struct(F.col("__id").isNull().alias("none"), "__id", "__tie")).alias("kept")
-    nodes = durable(marked.groupBy("node").agg(first))
-    keys = marked.select("node", "n", F.posexplode("prefix").alias("pos", "key"))
-    # A side of its own, so that a common shingle can be split over tasks by the join.
-    shared = durable(keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub < most").select("key", "hub"))
-    keys = durable(keys.join(shared, "key").distinct())
-
-    meeting = keys.where("node <> hub").groupBy("node", "hub").agg(F.count(F.lit(1)).alias("n"))
-    closest = meeting.groupBy("node").agg(F.max(F.struct("n", "hub")).alias("best"))
-    links = closest.select(F.col("best.hub").alias("a"), F.col("node").alias("b"))
-    linked = keys.select("node").distinct()
-    chosen = nodes.join(linked, "node").select("node", F.col("kept.__id").alias("__id"), F.col("kept.__tie").alias("__tie"))
-    same = ids["__id"].eqNullSafe(chosen["__id"]) & (ids["__tie"] == chosen["__tie"])
-    texts = durable(ids.join(chosen, same).select("node", "text").dropDuplicates(["node"]))
-    found = durable(verified(links, texts, words, similarity))
-
-    roots = components(found)
-    rooted = keys.join(roots, "node", "left").select("key", "node", "n", "pos", "hub", F.coalesce("root", "node").alias("root"))
-    open_ = rooted.groupBy("key").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count(F.lit(1)).alias("holders"))
-    open_ = durable(open_.where("least < most").select("key", "holders"))
-    rooted = durable(rooted.join(open_, "key"))
-    pairs = possible_pairs(rooted.where(F.col("holders") <= FEW), similarity)
-    found = durable(found.unionByName(verified(pairs, texts, words, similarity)))
-
-    rooted = durable(rooted.where(F.col("holders") > FEW).select("node", "hub", "root").distinct())
-    clusters = components(rooted.select(F.col("hub").alias("a"), F.col("node").alias("b")))
-    members = rooted.select("node", F.col("root").alias("known")).distinct().join(clusters.withColumnRenamed("root", "bits"), "node")
-    members = members.join(texts, "node").select("node", "known", "text", F.lit(0).alias("mask"), "bits")
-
-    def compare(rows: pa.Table, ends: np.ndarray) -> pa.RecordBatch:
-        node, known, part = (rows[c].to_numpy() for c in ("node", "known", "part"))
-        pairs = []
-        for stop in np.unique(ends).tolist():
-            start = int(np.searchsorted(ends, stop))
-            run = [t or b"" for t in rows["text"].slice(start, stop - start).cast(pa.binary()).to_pylist()]
-            for i, j in similar_links(run, part[start:stop], known[start:stop], words, similarity):
-                pairs.append((node[start + i], node[start + j]))
-        pairs = np.array(pairs, np.int64).reshape(-1, 2)
-        return pa.RecordBatch.from_arrays([pa.array(pairs.min(axis=1, initial=2**63 - 1)), pa.array(pairs.max(axis=1, initial=-(2**63)))], ["a", "b"])
-
-    # A part has up to 512 nodes or 4 MB of text.
-    load = F.greatest(F.lit(TILE / 512), F.coalesce(F.octet_length("text"), F.lit(0)) * TILE / (4 << 20))
-    more = compare_blocks(members, "node", compare, "a long, b long", load)
-    roots = components(found.unionByName(more))
-    grouped = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("kept").alias("kept"))
-    best = grouped.select(F.col("kept.__id").alias("__id"), F.col("kept.__tie").alias("__kept"))
-    same = tied["doc_id"].eqNullSafe(F.col("__id")) & (tied["__tie"] == F.col("__kept"))
-    return tied.join(best, same, "left_semi").dropDuplicates(["doc_id", "__tie"]).drop("__tie")
+    tie = F.coalesce(F.xxhash64(docs["text"]), F.lit(0))
+    marked, rooted = rooted_fingerprints(docs.select("doc_id", "text", tie.alias("tie")), words, radius, keep=("tie",))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")).alias("kept")
+    # Copies are reduced to a row per fingerprint before the roots are joined.
+    best = marked.groupBy("fingerprint").agg(first).join(rooted, "fingerprint").groupBy("root").agg(F.min("kept").alias("kept"))
+    best = best.select("kept.doc_id", "kept.tie")
+    same = docs["doc_id"].cast("long").eqNullSafe(best["doc_id"]) & (tie == best["tie"])
+    return docs.join(best, same, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def hex_of(column: str) -> Column:
