@@ -15,7 +15,7 @@ from tidewatch.llm.line_dedup import dedup_lines
 from tidewatch.llm.mixing import mixed_documents
 from tidewatch.llm.packing import pack_documents
 from tidewatch.llm.queries import TOKENIZER
-from tidewatch.llm.simhash import without_near_copies
+from tidewatch.llm.simhash import without_near_duplicates
 from tidewatch.llm.toxicity import THRESHOLD, score_toxicity, train
 from tidewatch.shared import scratch_path
 
@@ -36,8 +36,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five words, 0.8 and more): that with the smallest id."""
-    return without_near_copies(docs.select(COLUMNS), words=5, similarity=0.8).select(COLUMNS)
+    """One document of each group of SimHash near-duplicates (three words, two bits): that with the smallest id."""
+    return without_near_duplicates(docs.select(COLUMNS), words=3, radius=2).select(COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
