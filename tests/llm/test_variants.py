@@ -1,0 +1,124 @@
+"""Spelling variants against a plain dictionary of words with one letter masked or removed."""
+
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from tests.conftest import CHECK_FOLDER
+from tests.llm.helpers import awkward, documents, empty
+from tidewatch.llm import simhash, variants
+from tidewatch.llm.common import table
+from tidewatch.llm.queries import LLM_QUERIES
+from tidewatch.llm.variants import count_words, group_variants, last_forms, near_words, one_error_pairs
+
+COLUMNS = ["word", "form", "root", "n", "n_near", "form_n"]
+
+
+def plain_counts(rows, drop_one_in=31):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{'null' if doc_id is None else doc_id}:{run}".encode())
+            if drop_one_in and h % drop_one_in == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 7:
+                counts[run] += 1
+    return {w: n for w, n in counts.items() if n >= 2}
+
+
+def plain_near(words):
+    """Pairs that share a word with one letter masked, or of which one is the other without a letter."""
+    masked, near = defaultdict(list), defaultdict(set)
+    for w in words:
+        for i in range(len(w)):
+            masked[w[:i] + "*" + w[i + 1 :]].append(w)
+            short = w[:i] + w[i + 1 :]
+            if short in words:
+                near[w].add(short)
+                near[short].add(w)
+    for same in masked.values():
+        for w in same:
+            near[w].update(x for x in same if x != w)
+    return near
+
+
+def plain(rows, drop_one_in=31):
+    n = plain_counts(rows, drop_one_in)
+    near, form = plain_near(n), {}
+    for w in n:
+        best = min(near[w], key=lambda x: (-n[x], x), default=None)
+        form[w] = best if best is not None and n[best] >= 10 * n[w] else None
+    out = []
+    for w in n:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.append((w, form[w], root, n[w], len(near[w]), None if form[w] is None else n[form[w]]))
+    return sorted(out)
+
+
+def result(df):
+    return sorted(map(tuple, df.select(COLUMNS).collect()))
+
+
+def test_pairs_of_one_error():
+    rng = random.Random(5)
+    words = {"".join(rng.choices("abcé", k=rng.randint(5, 9))) for _ in range(600)}
+    words = sorted(words)
+    near = plain_near(set(words))
+    a, b = one_error_pairs(words, words)
+    found = list(zip(a.tolist(), b.tolist()))
+    assert len(found) == len(set(found))
+    assert {(words[i], words[j]) for i, j in found} == {(w, x) for w in near for x in near[w]}
+    assert [len(side) for side in one_error_pairs(["abcdefg"], ["abc"])] == [0, 0]
+
+
+@pytest.mark.parametrize("tile, at_once", [(2048, 8192), (16, 200)])
+def test_variants_of_one_block(spark, monkeypatch, tile, at_once):
+    """Words that differ in the middle only share a block; small tiles deal it into pairs of parts."""
+    monkeypatch.setattr(simhash, "TILE", tile)
+    monkeypatch.setattr(variants, "AT_ONCE", at_once)
+    rng = random.Random(6)
+    words = ["the" + "".join(rng.choices("abc", k=rng.randint(2, 4))) + "tion" for _ in range(300)]
+    words += [w[:-1] + rng.choice("nmñ") for w in words[:60]] + ["x" + w for w in words[:40]] + ["e" * k for k in (6, 7, 8, 9, 1500, 1501, 1502)]
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(12)] + [" ".join(words), " ".join(words)]
+    texts += ["thea" * 5 + " thabbtion" * 300, "Receive receive RECEIVE recieve " * 40]
+    rows = list(enumerate(texts))
+    assert result(group_variants(documents(spark, texts))) == plain(rows)
+    assert result(group_variants(documents(spark, texts), drop_one_in=None)) == plain(rows, None)
+
+
+def test_forms_are_followed_to_the_last(spark):
+    links = [(f"w{i:02}", f"w{i + 1:02}") for i in range(19)] + [("a", "b")]
+    roots = {r["word"]: r["root"] for r in last_forms(spark.createDataFrame(links, "word string, form string")).collect()}
+    assert roots == {**{f"w{i:02}": "w19" for i in range(19)}, "a": "b"}
+
+
+def test_counts_are_handed_on(spark, monkeypatch):
+    monkeypatch.setattr(variants, "HELD_WORDS", 3)
+    texts = ["aaaaaaaa bbbbbbbb cccccccc dddddddd eeeeeeee"] * 30
+    counts = {r["word"]: r["n"] for r in count_words(documents(spark, texts)).collect()}
+    assert counts == plain_counts(list(enumerate(texts)))
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark)
+    assert result(group_variants(docs)) == plain([(r["doc_id"], r["text"]) for r in docs.collect()])
+    long_run = documents(spark, ["ab" * 30_000, "ab" * 30_000 + "c", "ab" * 30_000, "ab" * 30_000 + "c", "×÷×÷×÷× " * 3])
+    assert result(group_variants(long_run, drop_one_in=None)) == plain([(r["doc_id"], r["text"]) for r in long_run.collect()], None)
+    assert group_variants(empty(spark)).collect() == []
+    assert near_words(spark.createDataFrame([("abcdefg", 5)], "word string, n long")).collect() == []
+
+
+def test_check_table(spark):
+    rows = [(r["doc_id"], r["text"]) for r in table(spark, CHECK_FOLDER, "documents").collect()]
+    got = LLM_QUERIES["op13_variants"](spark, CHECK_FOLDER)
+    assert got.columns == COLUMNS
+    expected = plain(rows)
+    assert any(form for _, form, *_ in expected) and result(got) == expected

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.llm.alignment import alignment_digest
 from tidewatch.llm.common import table
 from tidewatch.llm.fingerprint import compare_neighbours
 from tidewatch.llm.licenses import license_digest, scan_licenses
@@ -19,9 +20,11 @@ from tidewatch.llm.simhash import near_duplicates
 from tidewatch.llm.token_file import document_digests, read_token_file, write_token_file
 from tidewatch.llm.topk import top_k
 from tidewatch.llm.toxicity import held_out, predicted, score_toxicity, train
+from tidewatch.llm.variants import group_variants
 from tidewatch.shared import scratch_path
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER, PIECE_TOKENIZER = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_SQL: dict[str, str] = {}
@@ -174,3 +177,15 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"), words=3, radius=2)
+
+
+@query()
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment_digest(table(spark, folder, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
+
+
+@query()
+def op13_variants(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    grouped = group_variants(docs, least_length=7, least_count=2, factor=10, drop_one_in=31)
+    return grouped.select("word", "form", "root", "n", "n_near", "form_n")
