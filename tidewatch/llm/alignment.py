@@ -18,9 +18,11 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,10 +32,12 @@ from tidewatch.shared import durable, scratch_path
 
 SEGMENT = re.compile(r"(?<=\S) (?=\S)")
 TWO_BLANKS = re.compile(r"\s\s")
+# Segments that are encoded as one text.
+TOGETHER = 4096
 # Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 8 << 20
-# Aligned segments that a worker remembers; emptied when full, which changes the time only.
-KNOWN_SEGMENTS = 250_000
+CHUNK_BYTES = 4 << 20
+# Aligned segments that a worker remembers beside those of its chunk; forgetting them changes the time only.
+KNOWN_SEGMENTS = 500_000
 
 _ALIGNERS: dict[tuple[str, str, int], Aligner] = {}
 
@@ -64,6 +68,8 @@ class Aligner:
             fallback = self.b.is_byte(i)
             self.bytes_b.append(bytes([int(piece[3:5], 16)]) if fallback else piece.replace("▁", " ").encode())
         self.cuts_at_spaces = not any(re.search("[^▁]▁", piece) for piece in pieces_b)
+        self.lengths_a, self.lengths_b = (np.array([len(t) for t in side], np.int64) for side in (self.bytes_a, self.bytes_b))
+        self.decimal = pa.array([str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))], pa.binary())
         self.known: dict[str, tuple[bytes, int, int, int, bytes] | None] = {}
 
     def segments(self, text: str) -> list[str]:
@@ -79,19 +85,57 @@ class Aligner:
     def learn(self, segments: list[str]) -> None:
         """Align the segments that are not known yet; None stands for one that a tokenizer doesn't keep byte for byte."""
         if len(self.known) > KNOWN_SEGMENTS:
-            self.known = {}
+            self.known = {s: self.known[s] for s in segments if s in self.known}
         missing = [s for s in dict.fromkeys(segments) if s not in self.known]
-        for start in range(0, len(missing), 2048):
-            part = missing[start : start + 2048]
+        words = [s for s in missing if not (s[0].isspace() or s[-1].isspace())] if self.cuts_at_spaces else []
+        for start in range(0, len(words), TOGETHER):
+            self.align_together(words[start : start + TOGETHER])
+        others = [s for s in missing if s not in self.known]
+        for start in range(0, len(others), TOGETHER):
+            part = others[start : start + TOGETHER]
             coded_a = self.a.encode_batch([" " + s for s in part], add_special_tokens=False)
             coded_b = self.b.encode(part, return_type="proto", num_threads=1)
             for segment, a, b in zip(part, coded_a, coded_b):
-                ids_a, spans_a = a.ids, a.offsets
-                ids_b, spans_b = [], []
-                for piece in b.pieces:
-                    ids_b.append(piece.id)
-                    spans_b.append((piece.begin, piece.end))
-                self.known[segment] = self.align(" " + segment, ids_a, spans_a, ids_b, spans_b)
+                spans_b = [(piece.begin, piece.end) for piece in b.pieces]
+                self.known[segment] = self.align(" " + segment, a.ids, a.offsets, [piece.id for piece in b.pieces], spans_b)
+
+    def align_together(self, words: list[str]) -> None:
+        """Align segments without blanks at their ends as one text, by the same cuts; one that doesn't pass every check is left alone."""
+        text = " ".join(words)
+        data = (" " + text).encode()
+        coded = self.a.encode(" " + text, add_special_tokens=False)
+        found = self.b.encode(text, return_type="proto", num_threads=1).pieces
+        points = np.frombuffer((" " + text).encode("utf-32-le"), np.uint32)
+        place = np.zeros(len(points) + 1, np.int64)
+        np.cumsum(1 + (points >= 0x80) + (points >= 0x800).astype(np.int64) + (points >= 0x10000), out=place[1:])
+        ids_a, ids_b = np.array(coded.ids, np.int64), np.array([piece.id for piece in found], np.int64)
+        coarse_a = place[[end for _, end in coded.offsets]]
+        coarse_b = np.array([piece.end for piece in found], np.int64) + 1
+        ends_a, ends_b = np.cumsum(self.lengths_a[ids_a]), np.cumsum(self.lengths_b[ids_b])
+        stops = place[np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)]
+        for ids, ends, coarse, tokens in ((ids_a, ends_a, coarse_a, self.bytes_a), (ids_b, ends_b, coarse_b, self.bytes_b)):
+            begins = np.concatenate([[0], ends[:-1]])
+            # As in ``refined``: no coarse cut inside a token, and the bytes are those of the text.
+            if ((begins < coarse) & (coarse < ends)).any() or not np.isin(stops, ends).all():
+                return
+            if b"".join([tokens[i] for i in ids.tolist()]) != data:
+                return
+        cuts = np.union1d(ends_a, ends_b)  # every stretch between two cuts is one linked pair
+        links = ids_a[np.searchsorted(ends_a, cuts)] << 32 | ids_b[np.searchsorted(ends_b, cuts)]
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        sides = []
+        for ids, ends in ((ids_a, ends_a), (ids_b, ends_b)):
+            offsets = np.concatenate([[0], np.searchsorted(ends, common, side="right")])
+            sides.append(pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), self.decimal.take(pa.array(ids))), b","))
+        groups = pc.binary_join_element_wise(*sides, b"|")
+        upto = {name: np.searchsorted(ends, stops, side="right") for name, ends in (("a", ends_a), ("b", ends_b), ("group", common), ("link", cuts))}
+        offsets = pa.array(np.concatenate([[0], upto["group"]]), pa.int32())
+        strings = pc.binary_join(pa.ListArray.from_arrays(offsets, groups), b";").to_pylist()
+        counts = [np.diff(upto[name], prepend=0).tolist() for name in ("a", "b", "group")]
+        raw, last = links.tobytes(), 0
+        for word, string, n_a, n_b, n_groups, end in zip(words, strings, *counts, (8 * upto["link"]).tolist()):
+            self.known[word] = (string, n_a, n_b, n_groups, raw[last:end])
+            last = end
 
     def align(self, text: str, ids_a, spans_a, ids_b, spans_b) -> tuple[bytes, int, int, int, bytes] | None:
         """Groups as text, the numbers of A ids, B ids and groups, and the linked pairs as 64-bit integers.
@@ -207,18 +251,13 @@ def aligned_chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
 
 def chunk_row(both: Aligner, chunk: int, batch: pa.RecordBatch) -> pa.RecordBatch:
-    place_of: dict[str, int] = {}
-    aligned: list[tuple[bytes, int, int, int, bytes] | None] = []
+    cut = [both.segments(text or "") for text in batch.column("text").to_pylist()]
+    distinct = list(dict.fromkeys(chain.from_iterable(cut)))
+    both.learn(distinct)
+    place_of = {s: k for k, s in enumerate(distinct)}
+    aligned = [both.known[s] for s in distinct]
     owners, sha, plain = [], [], []
-    for text in batch.column("text").to_pylist():
-        segments = both.segments(text or "")
-        new = [s for s in segments if s not in place_of]
-        if new:
-            both.learn(new)
-            for s in new:
-                if s not in place_of:
-                    place_of[s] = len(aligned)
-                    aligned.append(both.known[s])
+    for segments in cut:
         places = [place_of[s] for s in segments]
         strings = [aligned[k] for k in places]
         if not strings or None in strings:

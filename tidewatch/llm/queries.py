@@ -15,6 +15,8 @@ from tidewatch.llm.licenses import license_digest, scan_licenses
 from tidewatch.llm.line_dedup import dedup_lines
 from tidewatch.llm.mixing import mix_sources
 from tidewatch.llm.packing import pack_documents
+from tidewatch.llm.pii import find_personal_data, personal_data_digest
+from tidewatch.llm.pii import train as train_pii
 from tidewatch.llm.secrets import scan_secrets
 from tidewatch.llm.simhash import near_duplicates
 from tidewatch.llm.token_file import document_digests, read_token_file, write_token_file
@@ -184,6 +186,12 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment_digest(table(spark, folder, "documents"), BYTE_TOKENIZER, PIECE_TOKENIZER)
 
 
+@query()
+def op12_pii(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return personal_data_digest(find_personal_data(docs, train_pii(docs)))
+
+
 @query()
 def op13_variants(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
