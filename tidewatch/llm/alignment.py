@@ -37,7 +37,7 @@ TOGETHER = 4096
 # Bytes of text in a chunk; a longer text is a chunk of its own.
 CHUNK_BYTES = 4 << 20
 # Aligned segments that a worker remembers beside those of its chunk; forgetting them changes the time only.
-KNOWN_SEGMENTS = 500_000
+KNOWN_SEGMENTS = 200_000
 
 _ALIGNERS: dict[tuple[str, str, int], Aligner] = {}
 
