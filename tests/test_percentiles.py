@@ -121,4 +121,4 @@ def test_plan_of_the_question(spark):
     assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "Python" not in plan and "Pandas" not in plan
     assert "props" not in plan, "unused columns must not be read"
-    assert "partial_percentile_approx" in plan, "values are summarised before the shuffle"
+    assert "partial_kll_sketch_agg_double" in plan, "values are summarised before the shuffle"

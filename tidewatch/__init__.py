@@ -8,6 +8,7 @@ from tidewatch.operators.aggregate import (
     non_null_counts,
     preview,
     qualified_spread,
+    roll_up_percentiles,
     roll_up_windows,
     window_aggregates,
 )
@@ -16,11 +17,14 @@ from tidewatch.operators.filters import drop_invalid_events, filter_qualified_de
 from tidewatch.operators.joins import join_dimension, keyed_join
 from tidewatch.operators.metrics import (
     active_devices,
+    device_sketches,
     error_rates,
     event_rates,
     message_sizes,
     partition_offsets,
+    roll_up_devices,
     silence_gaps,
+    stream_silences,
     window_counts,
 )
 from tidewatch.operators.outliers import (

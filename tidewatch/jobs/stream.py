@@ -14,6 +14,11 @@ from tidewatch.sources.bus import stream_json_lines, stream_messages
 from tidewatch.streaming.runner import CATCH_UP, LIVE, run_stream
 
 
+# A first start reads a whole topic or folder: in batches of this size, whatever has gathered there.
+OFFSETS_PER_BATCH = 50_000_000
+FILES_PER_BATCH = 1000
+
+
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Land the windows of an event stream.")
     source = parser.add_mutually_exclusive_group(required=True)
@@ -24,13 +29,14 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--checkpoint", required=True, help="state of the stream")
     parser.add_argument("--length", default=WINDOW_LENGTH)
     parser.add_argument("--delay", default=WATERMARK_DELAY)
-    parser.add_argument("--files-per-batch", type=int, help="files of --input in a batch at most")
+    parser.add_argument("--files-per-batch", type=int, default=FILES_PER_BATCH, help="files of --input in a batch at most")
+    parser.add_argument("--offsets-per-batch", type=int, default=OFFSETS_PER_BATCH, help="messages of the bus in a batch at most")
     parser.add_argument("--catch-up", action="store_true", help="stop when everything there is has been read")
     given = parser.parse_args(argv)
 
     spark = build_session("tidewatch-stream")
     if given.brokers:
-        messages = stream_messages(spark, given.brokers, given.topic)
+        messages = stream_messages(spark, given.brokers, given.topic, max_offsets_per_trigger=given.offsets_per_batch)
     else:
         messages = stream_json_lines(spark, given.input, given.files_per_batch)
     trigger = CATCH_UP if given.catch_up else LIVE

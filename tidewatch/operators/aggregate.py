@@ -10,21 +10,26 @@ from pyspark.sql import functions as F
 from tidewatch.shared import durable
 from tidewatch.functions import numeric, sample_mean, sample_sigma
 from tidewatch.operators.joins import Sized, keyed_join
-from tidewatch.schema import (
-    GROUP_KEYS,
-    MIN_DAILY_EVENTS,
-    PERCENTILE,
-    PERCENTILE_ACCURACY,
-    WINDOW_LENGTH,
+from tidewatch.operators.sketches import (
+    SKETCH_SIZE,
+    grouped_sketches,
+    merged_sketches,
+    quantile_sketch,
+    sketch_quantile,
 )
+from tidewatch.schema import GROUP_KEYS, MIN_DAILY_EVENTS, PERCENTILE, WINDOW_LENGTH
 
 PROOF_DIVISOR = 1024
 
 
 def window_aggregates(
-    events: DataFrame, length: str = WINDOW_LENGTH, duration_percentile: float | None = None
+    events: DataFrame, length: str = WINDOW_LENGTH, duration_percentile: float | None = None, sketch: bool = False
 ) -> DataFrame:
-    """Count, mean, min and max per tumbling event-time window and device type (batch or stream)."""
+    """Count, mean, min and max per tumbling event-time window and device type (batch or stream).
+
+    ``sketch`` adds ``duration_sketch``, from which longer spans get their percentiles without the events (see
+    :func:`roll_up_percentiles`); ``duration_percentile`` the window's own, from the same sketch.
+    """
     measures = [
         F.count("*").alias("event_count"),
         F.avg("event_duration").alias("avg_duration"),
@@ -32,12 +37,13 @@ def window_aggregates(
         F.max("event_duration").alias("max_duration"),
         F.avg("value").alias("avg_value"),
     ]
+    if duration_percentile is None and not sketch:
+        return events.groupBy(F.window("timestamp", length), "device_type").agg(*measures)
+    measures.append(quantile_sketch(F.col("event_duration")).alias("duration_sketch"))
+    windows = events.groupBy(F.window("timestamp", length), "device_type").agg(*measures)
     if duration_percentile is not None:
-        measures.append(
-            F.percentile_approx("event_duration", duration_percentile, PERCENTILE_ACCURACY)
-            .alias("percentile_duration")
-        )
-    return events.groupBy(F.window("timestamp", length), "device_type").agg(*measures)
+        windows = windows.withColumn("percentile_duration", sketch_quantile(F.col("duration_sketch"), duration_percentile))
+    return windows if sketch else windows.drop("duration_sketch")
 
 
 def group_spread(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
@@ -122,20 +128,25 @@ def compute_percentiles(
     df_clean: DataFrame,
     value: str = "avg_duration",
     q: float = PERCENTILE,
-    accuracy: int = PERCENTILE_ACCURACY,
     keys: Sequence[str] = GROUP_KEYS,
+    size: int = SKETCH_SIZE,
 ) -> DataFrame:
     """Approximate percentile, count and means per group, ordered by day and device type.
 
-    The percentile is Spark's mergeable quantile summary with relative rank error 1/accuracy.
+    The percentile comes from KLL sketches merged in two steps, so that no task merges a hot group's sketches of
+    all map tasks; groups of up to about ``size`` values are exact.
     """
+    means = {"avg_duration": value, "mean_duration": "mu", "stddev_duration": "sigma"}
+    sums = {"total_events": F.lit(1)}
+    for name, column in means.items():
+        sums[f"__sum_{name}"], sums[f"__n_{name}"] = F.col(column).cast("double"), F.col(column).isNotNull().cast("bigint")
+    summed = grouped_sketches(df_clean, value, keys, sums, size)
     return order_by_day(
-        df_clean.groupBy(*keys).agg(
-            F.percentile_approx(value, q, accuracy).alias("p95_duration"),
-            F.count("*").alias("total_events"),
-            F.avg(value).alias("avg_duration"),
-            F.avg("mu").alias("mean_duration"),
-            F.avg("sigma").alias("stddev_duration"),
+        summed.select(
+            *keys,
+            sketch_quantile(F.col("sketch"), q).alias("p95_duration"),
+            "total_events",
+            *[F.try_divide(F.col(f"__sum_{name}"), F.col(f"__n_{name}")).alias(name) for name in means],
         )
     )
 
@@ -173,6 +184,13 @@ def roll_up_windows(windows: DataFrame, keys: Sequence[str] = GROUP_KEYS) -> Dat
     )
 
 
+def roll_up_percentiles(
+    windows: DataFrame, q: float = PERCENTILE, keys: Sequence[str] = GROUP_KEYS, sketch: str = "duration_sketch"
+) -> DataFrame:
+    """The percentile of the events behind the windows of each group, from the windows' sketches only."""
+    return merged_sketches(windows, sketch, keys).select(*keys, sketch_quantile(F.col(sketch), q).alias("p95_duration"))
+
+
 def non_null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row with the non-null count of each column."""
     return df.agg(*[F.count(c).alias(c) for c in columns])

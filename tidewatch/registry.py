@@ -10,19 +10,23 @@ from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch import functions as E
 from tidewatch.shared import durable, scratch_path
 from tidewatch.operators import aggregate as A
-from tidewatch.operators import filters, metrics, outliers, project, quality, quantiles
+from tidewatch.operators import filters, metrics, outliers, project, quality, quantiles, sketches
 from tidewatch.operators.dedup import dedup_events
-from tidewatch.operators.joins import join_dimension
+from tidewatch.operators.joins import join_dimension, keyed_join
 from tidewatch.plans.percentiles import p95_from_events, p95_from_windows, removal_report
 from tidewatch.plans.windows import events_to_windows
 from tidewatch.schema import PARTITION_COLUMNS, WATERMARK_DELAY, WINDOW_SCHEMA
 from tidewatch.sources import tables
-from tidewatch.sources.events_table import as_messages, read_events, stream_events
+from tidewatch.sources.events_table import as_messages, contract_events, read_events, stream_events
+from tidewatch.streaming.batches import run_split, split_by_rules, split_late, stop_after
+from tidewatch.streaming.progress import ProgressLog
 from tidewatch.streaming.runner import CATCH_UP, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,9 +111,9 @@ event_duration >= 0 AND NOT isnan(event_duration) AND value IS NOT NULL AND NOT
 CANONICAL_SQL = "[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}"
 
 
-def faulty_events(spark: SparkSession, folder: str) -> DataFrame:
+def faulty_events(spark: SparkSession, folder: str, table: DataFrame | None = None) -> DataFrame:
     """Contract events with every kind of fault; ``event_number`` identifies the source row."""
-    table = spark.read.parquet(f"{folder}/events.parquet")
+    table = spark.read.parquet(f"{folder}/events.parquet") if table is None else table
     digest = F.md5(F.col("event_id").cast("string"))
     parts = [F.substring(digest, start, length) for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     identifier, value, user = F.concat_ws("-", *parts), F.col("value"), F.col("user_id")
@@ -164,6 +168,25 @@ def landed_windows(spark: SparkSession, folder: str) -> str:
     return path
 
 
+# Events arrive in four slices of the month, by the day; a slice is as many files, so a batch can be a slice.
+SLICES, FILES_OF_SLICE = 4, 4
+SLICE_SQL = "CAST(floor((day(ts) - 1) / 8) AS INTEGER)"
+
+
+def arrive(table: DataFrame, path: str, slice_of: Column, number: int) -> None:
+    """Append the rows of one slice to the folder that a stream watches."""
+    table.where(slice_of == number).repartition(FILES_OF_SLICE).write.mode("append").parquet(path)
+
+
+def slice_of(time: str = "ts") -> Column:
+    return F.floor((F.dayofmonth(time) - 1) / 8).cast("int")
+
+
+def watched(spark: SparkSession, path: str, schema, **options: str) -> DataFrame:
+    table = spark.readStream.schema(schema).options(**options).parquet(path)
+    return table.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def streamed_windows(spark: SparkSession, folder: str) -> str:
     """Path of the same table as the streaming job lands it, run anew."""
     path = scratch_path(spark, "stream")
@@ -706,6 +729,36 @@ def a9_window_percentile(spark, folder):
     return _window_output(project.unpack_window(windows), "percentile_duration")
 
 
+@query(f"""
+WITH {EVENTS_SQL} SELECT device_type, date, quantile_disc(event_duration, 0.95) AS p95_duration FROM ev GROUP BY ALL
+""")
+def a10_day_percentile(spark, folder):
+    """The day's percentile of the events, from the sketches of the landed one-minute windows only."""
+    path = scratch_path(spark, "sketched")
+    tables.write_windows(events_to_windows(read_events(spark, folder), sketch=True), path)
+    return A.roll_up_percentiles(project.with_event_date(tables.load_data(spark, path)))
+
+
+@query("""
+SELECT CASE WHEN event_id % 2 = 0 THEN 'hot' ELSE event_type END AS part, count(*) AS "rows", TRUE AS within
+FROM events GROUP BY ALL
+""")
+def a3_hot_group_rank(spark, folder):
+    """One group holds half of all rows; a coarse sketch's value must have the rank it claims, within 2 %."""
+    events = read_events(spark, folder)
+    part = F.when(F.col("event_id").cast("bigint") % 2 == 0, "hot").otherwise(F.col("device_type"))
+    rows = events.select(part.alias("part"), "value")
+    found = durable(sketches.grouped_sketches(rows, "value", ["part"], size=256).select(
+        "part", sketches.sketch_quantile(F.col("sketch"), 0.95).alias("p95")
+    ))
+    ranked = keyed_join(rows, found, ["part"]).groupBy("part").agg(
+        F.count("*").alias("rows"), F.count_if(F.col("value") <= F.col("p95")).alias("upto"),
+        F.count_if(F.col("value") < F.col("p95")).alias("below"),
+    )
+    low, high = F.col("below") / F.col("rows"), F.col("upto") / F.col("rows")
+    return ranked.select("part", "rows", ((low <= 0.97) & (high >= 0.93)).alias("within"))
+
+
 @query(f"""
 WITH {EVENTS_SQL} SELECT device_type, date, count(*) AS event_count, round(avg(event_duration) + {TIE}, 6) AS avg_duration,
 min(event_duration) AS min_duration, max(event_duration) AS max_duration, round(avg(value) + {TIE}, 6) AS avg_value
@@ -836,6 +889,101 @@ def t2_missing_ids(spark, folder):
     return dedup_events(events).select("event_id", "device_type", "timestamp")
 
 
+@query(f"""
+WITH {EVENTS_SQL}, {_windows_sql('minute')}
+SELECT {WINDOW_OUTPUT_SQL}, {CALENDAR_SQL} FROM win
+WHERE window_end <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
+""")
+def t8_restart(spark, folder):
+    """A bounded catch-up in several batches, stopped after two of them and resumed from its checkpoint."""
+    table = spark.read.parquet(f"{folder}/events.parquet")
+    source, out, state = (scratch_path(spark, name) for name in ("arrived", "resumed", "resumed-state"))
+    for number in range(SLICES):
+        arrive(table, source, slice_of(), number)
+
+    def start(trigger) -> StreamingQuery:
+        events = contract_events(watched(spark, source, table.schema, maxFilesPerTrigger=str(FILES_OF_SLICE)))
+        return run_stream(project.encode_events(events), out, state, trigger=trigger)
+
+    stop_after(start({"processingTime": "0 seconds"}), 2)
+    start(CATCH_UP).awaitTermination()
+    return _window_output(spark.read.parquet(out), *PARTITION_COLUMNS)
+
+
+@query(f"""
+WITH arrived AS (
+  SELECT event_id, ts, CASE WHEN event_id % 10 = 0 THEN least({SLICE_SQL} + 1, 3) ELSE {SLICE_SQL} END AS batch FROM events),
+latest AS (SELECT batch, max(ts) AS last_time FROM arrived GROUP BY batch),
+watermarks AS (
+  SELECT batch, max(last_time) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 MINUTE AS w
+  FROM latest)
+SELECT event_id, batch::BIGINT AS batch, coalesce(ts < w, FALSE) AS late FROM arrived JOIN watermarks USING (batch)
+""")
+def t4_late_rows(spark, folder):
+    """Every tenth event arrives a slice later; those behind the committed watermark go to a table of their own."""
+    table = spark.read.parquet(f"{folder}/events.parquet")
+    source, out, state = (scratch_path(spark, name) for name in ("arrived", "late", "late-state"))
+    tenth = F.col("event_id") % 10 == 0
+    at = F.when(tenth, F.least(slice_of() + 1, F.lit(SLICES - 1))).otherwise(slice_of())
+    for number in range(SLICES):
+        arrive(table, source, at, number)
+        events = watched(spark, source, table.schema)
+        split = split_late(out, WATERMARK_DELAY, "ts")
+        run_split(events, out, state, split, time="ts", trigger=CATCH_UP).awaitTermination()
+    parts = [
+        spark.read.parquet(f"{out}/{name}").select("event_id", F.col("batch").cast("bigint").alias("batch"), F.lit(name == "late").alias("late"))
+        for name in ("in_time", "late")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query(f"WITH {FAULTY_SQL} SELECT event_number, {REASONS_SQL} AS reasons FROM faulty")
+def f5_stream_split(spark, folder):
+    """Valid and rejected rows of a stream from one pass; the second batch fails once after its writes and is replayed."""
+    table = spark.read.parquet(f"{folder}/events.parquet")
+    source, out, state = (scratch_path(spark, name) for name in ("arrived", "split", "split-state"))
+    for number in range(SLICES):
+        arrive(table, source, slice_of(), number)
+    plain, failed = split_by_rules(quality.contract_rules()), []
+
+    def failing(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
+        parts = plain(batch, batch_id)
+        if batch_id == 1 and not failed:
+            failed.append(batch_id)
+            parts["valid"].write.mode("overwrite").parquet(f"{out}/valid/batch={batch_id}")
+            raise RuntimeError("a failure between the tables of a batch")
+        return parts
+
+    def start() -> StreamingQuery:
+        arrived = watched(spark, source, table.schema, maxFilesPerTrigger=str(FILES_OF_SLICE))
+        return run_split(faulty_events(spark, folder, arrived), out, state, failing, trigger=CATCH_UP)
+
+    try:
+        start().awaitTermination()
+    except StreamingQueryException:
+        if not failed:
+            raise
+    start().awaitTermination()
+    valid = spark.read.parquet(f"{out}/valid").select("event_number", F.lit("").alias("reasons"))
+    rejected = spark.read.parquet(f"{out}/rejected")
+    return valid.unionByName(rejected.select("event_number", F.array_join("reject_reasons", ",").alias("reasons")))
+
+
+@query("""
+WITH series AS (
+  SELECT event_type AS device_type, ts, lead(ts) OVER (PARTITION BY event_type ORDER BY ts) AS next_ts FROM events)
+SELECT device_type, ts AS silent_since, ts + INTERVAL 420 SECOND AS alert_at FROM series
+WHERE (next_ts IS NULL OR epoch_us(next_ts) - epoch_us(ts) > 420000000)
+  AND ts + INTERVAL 420 SECOND < (SELECT max(ts) - INTERVAL 10 MINUTE FROM events)
+""")
+def m7_stream_silences(spark, folder):
+    """Alerts of a stream, raised once a type has been silent for five minutes and two more."""
+    events = stream_events(spark, folder).withWatermark("timestamp", "10 minutes")
+    alerts = metrics.stream_silences(events, 300, hold_seconds=120)
+    landed = _drain(spark, alerts, "m7")
+    return landed.select("device_type", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("silent_since", "alert_at")])
+
+
 @query("SELECT 0::BIGINT AS only_batch, 0::BIGINT AS only_stream, count(*) > 0 AS compared FROM events")
 def t9_batch_equals_stream(spark, folder):
     """Closed windows of the stream against those of the batch plan, row by row."""
@@ -977,6 +1125,42 @@ def m4_active_devices(spark, folder):
     return metrics.active_devices(read_events(spark, folder), "1 hour")
 
 
+@query(f"""
+WITH {EVENTS_SQL} SELECT date, count(DISTINCT device_id) AS devices, TRUE AS within FROM ev GROUP BY date
+""")
+def m4_devices_by_day(spark, folder):
+    """Distinct devices of a day from the sketches of its hours, within 3 % of the exact count."""
+    events = read_events(spark, folder)
+    hours = metrics.device_sketches(events, "1 hour").withColumn("date", E.event_date("window_start"))
+    days = durable(metrics.roll_up_devices(hours))
+    exact = events.groupBy(E.event_date("timestamp").alias("date")).agg(F.count_distinct("device_id").alias("devices"))
+    near = F.abs(F.col("active_devices") - F.col("devices")) <= F.greatest(F.lit(1.0), 0.03 * F.col("devices"))
+    return keyed_join(exact, days, ["date"]).select("date", "devices", near.alias("within"))
+
+
+@query("SELECT 4::BIGINT AS batches, count(*) AS input_rows, 0::BIGINT AS dropped_late FROM events")
+def m9_batch_reports(spark, folder):
+    """The reports of a stream of four batches, gathered as a table while it runs."""
+    table = spark.read.parquet(f"{folder}/events.parquet")
+    source = scratch_path(spark, "arrived")
+    for number in range(SLICES):
+        arrive(table, source, slice_of(), number)
+    name, log = "reports-" + source[-8:], ProgressLog(every=2)
+    spark.streams.addListener(log)
+    try:
+        events = contract_events(watched(spark, source, table.schema, maxFilesPerTrigger=str(FILES_OF_SLICE)))
+        out, state = scratch_path(spark, "reported"), scratch_path(spark, "reported-state")
+        run_stream(project.encode_events(events), out, state, trigger=CATCH_UP, name=name).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        log.flush()
+    finally:
+        spark.streams.removeListener(log)
+    own = log.frame(spark).where((F.col("query") == name) & (F.col("input_rows") > 0))
+    return own.agg(
+        F.count_distinct("batch_id").alias("batches"), F.sum("input_rows").alias("input_rows"), F.sum("dropped_late").alias("dropped_late")
+    )
+
+
 SIZES_SQL = f"""
 count(*) AS messages, round(avg(size) + {TIE}, 6) AS mean_bytes, quantile_disc(size, 0.5) AS p50_bytes,
 quantile_disc(size, 0.95) AS p95_bytes

@@ -19,7 +19,6 @@ TRIGGER_INTERVAL = "30 seconds"
 MIN_DAILY_EVENTS = 500
 SIGMA_LIMIT = 3.0
 PERCENTILE = 0.95
-PERCENTILE_ACCURACY = 10000
 
 STRING, LONG, INT, DOUBLE = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
 BINARY, INSTANT, TEXT_MAP = T.BinaryType(), T.TimestampType(), T.MapType(T.StringType(), T.StringType())

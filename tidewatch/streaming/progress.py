@@ -6,6 +6,7 @@ import json
 from collections.abc import Iterable, Mapping
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -63,7 +64,6 @@ class ProgressLog(StreamingQueryListener):
         self.every = every
         self.unwritten: list[dict] = []
         self.failures: list[str] = []  # one for each query that failed
-        self.written = False
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -82,13 +82,14 @@ class ProgressLog(StreamingQueryListener):
 
     def flush(self) -> None:
         """Append what is held to the table."""
-        if self.unwritten:
-            reports, self.unwritten = self.unwritten, []
+        reports = list(self.unwritten)
+        if reports:
             progress_frame(SparkSession.active(), reports).coalesce(1).write.mode("append").parquet(self.path)
-            self.written = True
+            self.unwritten = self.unwritten[len(reports) :]  # a failed write keeps them
 
     def frame(self, spark: SparkSession) -> DataFrame:
         held = progress_frame(spark, list(self.unwritten))
-        if not self.written:
+        try:
+            return spark.read.schema(PROGRESS_SCHEMA).parquet(self.path).unionByName(held)
+        except AnalysisException:  # nothing written yet
             return held
-        return spark.read.schema(PROGRESS_SCHEMA).parquet(self.path).unionByName(held)
