@@ -22,8 +22,8 @@ def dedup_events(
     """One event per identifier.
 
     A stream forgets an identifier once the watermark has passed its time by ``delay``, so its
-    state is bounded. A batch keeps the earliest copy; of equally early copies that with the least 64-bit hash
-    of its other columns, so a rerun keeps the same row. Spark applies the first-per-key limit before
+    state is bounded. A batch keeps the earliest copy; equally early copies are ordered by their
+    other columns, so a rerun keeps the same row. Spark applies the first-per-key limit before
     the shuffle too, so the copies of one identifier never meet in one task.
 
     Events without an identifier can't be told to be copies. A batch keeps all of them where they are: they are
@@ -33,12 +33,11 @@ def dedup_events(
     named = reduce(Column.__and__, [F.col(key).isNotNull() for key in keys])
     if events.isStreaming:
         return events.withWatermark(time, delay).filter(named).dropDuplicatesWithinWatermark(list(keys))
-    others = [
+    ties = [
         F.array_sort(F.map_entries(c)) if isinstance(events.schema[c].dataType, T.MapType) else F.col(c)
         for c in events.columns
         if c not in keys and c != time
     ]
-    copies = Window.partitionBy(*keys).orderBy(time, "__digest")
-    marked = events.filter(named).withColumn("__digest", F.xxhash64(*others) if others else F.lit(0))
-    once = marked.withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").drop("__copy", "__digest")
+    copies = Window.partitionBy(*keys).orderBy(time, *ties)
+    once = events.filter(named).withColumn("__copy", F.row_number().over(copies)).filter("__copy = 1").drop("__copy")
     return once.unionByName(events.filter(~named)) if keep_unnamed else once
