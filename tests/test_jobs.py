@@ -28,7 +28,7 @@ def test_stream_to_report(spark, tmp_path):
     assert windows.count() == 2 * 49  # the watermark stands ten minutes before 10:59:30
 
     found = daily_report.main(["--input", landed, "--output", report, "--min-events", "10", "--first-day", "2024-03-05"])
-    assert found == {"groups": 2, "windows": 98}
+    assert found == {"groups": 2, "loaded": 98, "qualified": 98, "kept": 98, "removed": 0}
     rows = {r["device_type"]: r for r in spark.read.option("header", True).csv(report).collect()}
     assert set(rows) == {"motion", "light"} and float(rows["light"]["p95_duration"]) == 200.0
     with pytest.raises(SystemExit):

@@ -6,12 +6,18 @@ from datetime import timedelta
 
 import pytest
 
-from tests.conftest import at, plan_of
+from tests.conftest import at, rows_of, plan_of
 from tests.test_quantiles import brute
 from tidewatch.operators import aggregate as A
 from tidewatch.operators import quality
 from tidewatch.operators.project import with_event_date
-from tidewatch.plans.percentiles import p95_from_events, p95_from_windows, removal_report
+from tidewatch.plans.percentiles import (
+    counted_p95_from_events,
+    counted_p95_from_windows,
+    p95_from_events,
+    p95_from_windows,
+    removal_report,
+)
 from tidewatch.schema import EVENT_SCHEMA, WINDOW_SCHEMA
 
 EVENT_COLUMNS = "event_id string, device_type string, timestamp timestamp, event_duration double"
@@ -75,7 +81,23 @@ def test_removal_report_separates_gate_and_outliers(spark):
     assert report == {"a": (601, True, 600, 1), "b": (10, False, 0, 0)}
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_counted_report_agrees_with_its_parts(spark, broadcast, request):
+    if not broadcast:
+        request.getfixturevalue("no_broadcast")
+    df = events(spark, [("a", 600, 600), ("b", 10, 10), (None, 700, 700)]).unionByName(
+        spark.createDataFrame([("far", "a", at("01:00"), 1e6)], EVENT_COLUMNS)
+    )
+    counted = counted_p95_from_events(df)
+    assert counted.report.collect() == p95_from_events(df).collect()
+    assert rows_of(counted.removals) == rows_of(removal_report(df))
+    # The group without a type qualifies, but the question drops it.
+    assert counted.totals() == {"groups": 1, "loaded": 1311, "qualified": 1301, "kept": 600, "removed": 701}
+
+
 def test_empty_input(spark):
+    windows = counted_p95_from_windows(spark.createDataFrame([], WINDOW_SCHEMA))
+    assert windows.totals() == {"groups": 0, "loaded": 0, "qualified": 0, "kept": 0, "removed": 0}
     none = spark.createDataFrame([], EVENT_SCHEMA)
     assert p95_from_events(none).count() == 0
     assert p95_from_events(none, exact=True).count() == 0

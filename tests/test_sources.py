@@ -102,5 +102,6 @@ def test_compaction_keeps_the_days_that_are_there(spark, tmp_path):
     for day in (1, 2, 1):
         tables.compact_days(spark, source, target, date(2024, 1, day), date(2024, 1, day))
     assert sorted(r["day"] for r in spark.read.parquet(target).collect()) == [1, 1, 2]
-    with pytest.raises(ValueError):
-        tables.compact_days(spark, source, source + "/", date(2024, 1, 1), date(2024, 1, 2))
+    for other in (source + "/", f"file:{source}", f"file://{source}/.", f"{source}//year=2024", source.rpartition("/")[0]):
+        with pytest.raises(ValueError):
+            tables.compact_days(spark, source, other, date(2024, 1, 1), date(2024, 1, 2))

@@ -60,7 +60,14 @@ from tidewatch.operators.quality import (
 )
 from tidewatch.operators.quantiles import exact_quantiles, quantiles
 from tidewatch.plans.health import stream_metrics
-from tidewatch.plans.percentiles import p95_from_events, p95_from_windows, removal_report
+from tidewatch.plans.percentiles import (
+    CountedReport,
+    counted_p95_from_events,
+    counted_p95_from_windows,
+    p95_from_events,
+    p95_from_windows,
+    removal_report,
+)
 from tidewatch.plans.windows import events_to_windows
 from tidewatch.schema import EVENT_SCHEMA, MESSAGE_SCHEMA, WINDOW_SCHEMA, WIRE_SCHEMA
 from tidewatch.session import build_session

@@ -9,20 +9,16 @@ import argparse
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Observation
-from pyspark.sql import functions as F
-
 from tidewatch.operators.aggregate import preview
 from tidewatch.operators.quality import validate_results
-from tidewatch.plans.percentiles import p95_from_windows
+from tidewatch.plans.percentiles import counted_p95_from_windows
 from tidewatch.schema import MIN_DAILY_EVENTS, PERCENTILE, WINDOW_SCHEMA
 from tidewatch.session import build_session
-from tidewatch.shared import durable
 from tidewatch.sources.tables import export_results, load_data
 
 
 def main(argv: Sequence[str] | None = None) -> dict[str, int]:
-    """Runs the report; returns how many groups and windows it holds."""
+    """Runs the report; returns its groups, and how many windows were loaded, qualified, kept and removed."""
     parser = argparse.ArgumentParser(description="Percentile of durations per day and device type.")
     parser.add_argument("--input", required=True, help="landed window table")
     parser.add_argument("--output", required=True, help="folder of the CSV report")
@@ -35,17 +31,15 @@ def main(argv: Sequence[str] | None = None) -> dict[str, int]:
 
     spark = build_session("tidewatch-daily-report")
     windows = load_data(spark, given.input, given.first_day, given.last_day, WINDOW_SCHEMA)
-    counts = Observation("report")
-    report = p95_from_windows(windows, min_events=given.min_events, q=given.quantile).observe(
-        counts, F.count(F.lit(1)).alias("groups"), F.coalesce(F.sum("total_events"), F.lit(0)).alias("windows")
-    )
-    report = durable(report)
-    if not counts.get["groups"]:
+    counted = counted_p95_from_windows(windows, min_events=given.min_events, q=given.quantile)
+    counts = counted.totals()
+    if not counts["groups"]:
         raise SystemExit(f"no device type has {given.min_events} windows on any day of {given.input}")
-    validate_results(report)
-    preview(report).show(truncate=False)
-    export_results(report, given.output, given.single_file)
-    return counts.get
+    validate_results(counted.report)
+    preview(counted.report).show(truncate=False)
+    print(", ".join(f"{name}: {number}" for name, number in counts.items()))
+    export_results(counted.report, given.output, given.single_file)
+    return counts
 
 
 if __name__ == "__main__":

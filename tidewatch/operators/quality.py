@@ -185,6 +185,27 @@ def mistyped_columns(df: DataFrame, expected: T.StructType) -> list[str]:
     return sorted(f.name for f in expected if f.name in actual and actual[f.name] != f.dataType)
 
 
+def schema_report(df: DataFrame, expected: T.StructType | Iterable[str]) -> DataFrame:
+    """A row for every column that is expected or there: its status, its values and all rows.
+
+    ``status`` is ok, missing, mistyped (only if ``expected`` has types) or extra. The values of all columns
+    are counted in one aggregation.
+    """
+    names = expected.names if isinstance(expected, T.StructType) else list(expected)
+    mistyped = mistyped_columns(df, expected) if isinstance(expected, T.StructType) else []
+    status = {name: "missing" if name not in df.columns else "mistyped" if name in mistyped else "ok" for name in names}
+    status |= dict.fromkeys(extra_columns(df, names), "extra")
+    counted = df.agg(
+        F.count(F.lit(1)).alias("total_rows"),
+        *[F.count(F.col(f"`{name}`") if name in df.columns else F.lit(None)).alias(f"n{i}") for i, name in enumerate(status)],
+    )
+    lines = F.array(*[
+        F.struct(F.lit(name).alias("column"), F.lit(kind).alias("status"), F.col(f"n{i}").alias("present_rows"))
+        for i, (name, kind) in enumerate(status.items())
+    ])
+    return counted.select("total_rows", F.explode(lines).alias("line")).select("line.*", "total_rows")
+
+
 def validate_schema(df: DataFrame, expected_columns: Iterable[str] = REQUIRED_EVENT_COLUMNS) -> bool:
     """Whether every expected column exists; extra columns are no error."""
     return not missing_columns(df, expected_columns)

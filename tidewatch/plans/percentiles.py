@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,6 @@ from tidewatch.operators.aggregate import (
     order_by_day,
     qualified_spread,
 )
-from tidewatch.operators.filters import filter_qualified_devices
 from tidewatch.operators.joins import Sized, keyed_join
 from tidewatch.operators.outliers import remove_outliers
 from tidewatch.operators.project import daily_window_rows
@@ -83,17 +84,20 @@ def removal_report(
 ) -> DataFrame:
     """What the question leaves out: rows of each group, whether it qualified, outliers removed.
 
-    Rows of groups below the gate and outliers of the other groups are separate figures.
+    Rows of groups below the gate and outliers of the other groups are separate figures. Together with
+    the report itself, :func:`counted_p95_from_events` gives the same for no further pass.
     """
     rows = daily_durations(events)
     spread = qualified_spread(rows, "event_duration", "event_id", min_events)
-    groups = durable(spread.frame)
-    spread = spread.part(groups)
+    spread = spread.part(durable(spread.frame))
     kept = _inliers(rows, spread, k).groupBy(*GROUP_KEYS).agg(F.count("*").alias("kept"))
-    if not spread.fits:
-        kept = durable(kept)
+    return _removals(spread, kept if spread.fits else durable(kept))
+
+
+def _removals(groups: Sized, kept: DataFrame) -> DataFrame:
+    """Rows, kept rows and removed outliers of every group from its ``rows`` and ``qualified``, and ``kept``."""
     joined = keyed_join(
-        groups, spread.part(kept), GROUP_KEYS, how="left", null_safe=True
+        groups.frame, groups.part(kept), GROUP_KEYS, how="left", null_safe=True
     )
     kept_rows = F.coalesce("kept", F.lit(0).cast("bigint"))
     return joined.select(
@@ -105,6 +109,48 @@ def removal_report(
     )
 
 
+@dataclass(frozen=True)
+class CountedReport:
+    """A finished report, and what went into every group of it: rows, qualified, kept and removed.
+
+    The counts come from the statistics and the report, which are both kept, so no row is read again for them;
+    and unlike counters that tasks send, they are right when tasks of a lost executor run twice.
+    """
+
+    report: DataFrame
+    removals: DataFrame
+
+    def totals(self) -> dict[str, int]:
+        """Groups of the report, rows loaded, rows of qualified groups, rows kept and outliers removed."""
+        qualified = F.col("qualified")
+        row = self.removals.agg(
+            F.count_if(F.col("kept") > 0).alias("groups"),
+            F.coalesce(F.sum("rows"), F.lit(0)).alias("loaded"),
+            F.coalesce(F.sum(F.when(qualified, F.col("rows"))), F.lit(0)).alias("qualified"),
+            F.coalesce(F.sum("kept"), F.lit(0)).alias("kept"),
+            F.coalesce(F.sum("removed"), F.lit(0)).alias("removed"),
+        ).first()
+        return row.asDict()
+
+
+def _counted(groups: Sized, report: DataFrame) -> CountedReport:
+    report = durable(report)
+    return CountedReport(report, _removals(groups, report.select(*GROUP_KEYS, F.col("total_events").alias("kept"))))
+
+
+def counted_p95_from_events(
+    events: DataFrame,
+    min_events: int = MIN_DAILY_EVENTS,
+    k: float = SIGMA_LIMIT,
+    q: float = PERCENTILE,
+) -> CountedReport:
+    """:func:`p95_from_events` with :func:`removal_report`, in the passes of the first alone."""
+    rows = daily_durations(events)
+    spread = qualified_spread(rows, "event_duration", "event_id", min_events)
+    spread = spread.part(durable(spread.frame))
+    return _counted(spread, compute_percentiles(_inliers(rows, spread, k), "event_duration", q))
+
+
 def p95_from_windows(
     windows: DataFrame,
     min_events: int = MIN_DAILY_EVENTS,
@@ -116,9 +162,28 @@ def p95_from_windows(
     This answers a different question than :func:`p95_from_events`: every window weighs the
     same, and ``total_events`` counts windows.
     """
+    rows, groups = _window_groups(windows, min_events)
+    return _window_percentiles(rows, groups, k, q)
+
+
+def counted_p95_from_windows(
+    windows: DataFrame,
+    min_events: int = MIN_DAILY_EVENTS,
+    k: float = SIGMA_LIMIT,
+    q: float = PERCENTILE,
+) -> CountedReport:
+    """:func:`p95_from_windows` with its counts of windows, in the same two passes."""
+    rows, groups = _window_groups(windows, min_events)
+    return _counted(groups, _window_percentiles(rows, groups, k, q))
+
+
+def _window_groups(windows: DataFrame, min_events: int) -> tuple[DataFrame, Sized]:
+    """The rows of the question, and the statistics of every group with whether it ``qualified``."""
     rows = daily_window_rows(windows)
-    stats = durable(compute_daily_statistics(rows))
-    clean = remove_outliers(
-        rows, filter_qualified_devices(stats, min_events), k=k
-    )
-    return compute_percentiles(clean, q=q)
+    passed = F.coalesce(F.col("distinct_events") >= min_events, F.lit(False))
+    stats = durable(compute_daily_statistics(rows).withColumn("qualified", passed))
+    return rows, Sized.of(stats.withColumnRenamed("total_windows", "rows"))
+
+
+def _window_percentiles(rows: DataFrame, groups: Sized, k: float, q: float) -> DataFrame:
+    return compute_percentiles(remove_outliers(rows, groups.part(groups.frame.filter("qualified")), k=k), q=q)

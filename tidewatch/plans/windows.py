@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch import functions as E
 from tidewatch.operators.aggregate import window_aggregates
 from tidewatch.operators.dedup import dedup_events
-from tidewatch.operators.filters import drop_invalid_events
+from tidewatch.operators.filters import is_valid_event
 from tidewatch.operators.project import unpack_window
 from tidewatch.schema import WATERMARK_DELAY, WINDOW_LENGTH
 
 
+def is_usable_event() -> Column:
+    """A valid event with an identifier; never NULL."""
+    return F.coalesce(is_valid_event(), F.lit(False)) & F.col("event_id").isNotNull()
+
+
 def events_to_windows(
     events: DataFrame, length: str = WINDOW_LENGTH, delay: str = WATERMARK_DELAY, sketch: bool = False
 ) -> DataFrame:
@@ -24,7 +29,7 @@ def events_to_windows(
     removes copies at any distance in time, a stream those within ``delay``. ``sketch`` adds a quantile sketch
     of the durations to every window.
     """
-    valid = drop_invalid_events(events).filter(F.col("event_id").isNotNull()).select("event_id", "device_type", "timestamp", "event_duration", "value")
+    valid = events.filter(is_valid_event() & F.col("event_id").isNotNull()).select("event_id", "device_type", "timestamp", "event_duration", "value")
     once = dedup_events(valid, delay=delay, keep_unnamed=False)
     return unpack_window(window_aggregates(once, length, sketch=sketch)).select(
         "*", F.current_timestamp().alias("processing_time"), *E.calendar_parts(F.col("window_start"))

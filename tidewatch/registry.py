@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.errors import StreamingQueryException
@@ -20,13 +21,21 @@ from tidewatch.operators import aggregate as A
 from tidewatch.operators import filters, metrics, outliers, project, quality, quantiles, sketches
 from tidewatch.operators.dedup import dedup_events
 from tidewatch.operators.joins import join_dimension, keyed_join
-from tidewatch.plans.percentiles import p95_from_events, p95_from_windows, removal_report
+from tidewatch.plans.health import stream_metrics
+from tidewatch.plans.percentiles import (
+    CountedReport,
+    counted_p95_from_events,
+    counted_p95_from_windows,
+    p95_from_events,
+    p95_from_windows,
+    removal_report,
+)
 from tidewatch.plans.windows import events_to_windows
-from tidewatch.schema import PARTITION_COLUMNS, WATERMARK_DELAY, WINDOW_SCHEMA
+from tidewatch.schema import EVENT_SCHEMA, PARTITION_COLUMNS, REQUIRED_EVENT_COLUMNS, WATERMARK_DELAY, WINDOW_SCHEMA
 from tidewatch.sources import tables
 from tidewatch.sources.events_table import as_messages, contract_events, read_events, stream_events
 from tidewatch.streaming.batches import run_split, split_by_rules, split_late, stop_after
-from tidewatch.streaming.progress import ProgressLog
+from tidewatch.streaming.progress import ProgressLog, recent_progress
 from tidewatch.streaming.runner import CATCH_UP, run_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -295,6 +304,55 @@ def q2_p95_from_windows(spark, folder):
     return _p95_output(p95_from_windows(windows, min_events=GATE))
 
 
+# A gate that some groups of the check tables miss.
+COUNTED_GATE = 65
+
+
+def _counted_sql(value: str, distinct: str) -> str:
+    """Every group of ``day`` with its counts, and with its percentile if it qualified."""
+    return f"""
+stats AS (
+  SELECT device_type, date, avg({value}) AS mu, stddev_samp({value}) AS sigma,
+         count(*) AS "rows", count(DISTINCT {distinct}) >= {COUNTED_GATE} AS qualified
+  FROM day GROUP BY device_type, date),
+clean AS (
+  SELECT device_type, date, quantile_disc({value}, 0.95) AS p95, count(*) AS kept
+  FROM day JOIN stats USING (device_type, date)
+  WHERE qualified AND (sigma = 0 OR abs({value} - mu) <= 3 * sigma) GROUP BY device_type, date)
+SELECT device_type, date, "rows", qualified, coalesce(kept, 0) AS kept,
+       CASE WHEN qualified THEN "rows" - coalesce(kept, 0) ELSE 0 END AS removed,
+       round(p95 + {TIE}, 6) AS p95_duration,
+       (SELECT CAST(sum("rows") AS BIGINT) FROM stats) AS all_loaded,
+       (SELECT CAST(sum("rows") AS BIGINT) FROM stats WHERE qualified) AS all_qualified,
+       (SELECT CAST(sum(kept) AS BIGINT) FROM clean) AS all_kept
+FROM stats LEFT JOIN clean USING (device_type, date)
+"""
+
+
+def _counted_output(counted: CountedReport) -> DataFrame:
+    totals = counted.totals()
+    values = counted.report.select("device_type", "date", _r("p95_duration"))
+    return keyed_join(counted.removals, values, ["device_type", "date"], how="left").select(
+        "device_type", "date", "rows", "qualified", "kept", "removed", "p95_duration",
+        *[F.lit(totals[name]).cast("bigint").alias(f"all_{name}") for name in ("loaded", "qualified", "kept")],
+    )
+
+
+@query(f"WITH {EVENTS_SQL}, day AS (SELECT * FROM ev), {_counted_sql('event_duration', 'event_id')}")
+def q1_counted_report(spark, folder):
+    """The report with the rows of all groups, also those below the gate, and the program's totals."""
+    return _counted_output(counted_p95_from_events(read_events(spark, folder), min_events=COUNTED_GATE))
+
+
+@query(f"""
+WITH {EVENTS_SQL}, {_windows_sql('minute')}, day AS (SELECT *, CAST(window_start AS DATE) AS date FROM win),
+{_counted_sql('avg_duration', 'window_start')}""")
+def q2_counted_report(spark, folder):
+    """The same over landed windows, as the daily program runs it."""
+    windows = tables.load_data(spark, landed_windows(spark, folder), schema=WINDOW_SCHEMA)
+    return _counted_output(counted_p95_from_windows(windows, min_events=COUNTED_GATE))
+
+
 @query(f"""
 WITH {FAULTY_SQL}, valid AS (SELECT * FROM faulty WHERE {VALID_SQL} AND event_id IS NOT NULL), {_windows_sql('hour', 'valid')}
 SELECT {WINDOW_OUTPUT_SQL}, {CALENDAR_SQL} FROM win
@@ -461,6 +519,19 @@ def p3_window_bounds(spark, folder):
     return project.unpack_window(table.select("event_id", F.window("ts", "1 minute").alias("window")))
 
 
+@query("""
+SELECT event_type AS device_type, count(*) AS "rows", count(DISTINCT now()) AS stamps, count(*) FILTER (WHERE ts <= now()) AS earlier
+FROM events GROUP BY event_type
+""")
+def p4_processing_time(spark, folder):
+    """All rows of a batch are stamped with one instant, which none of these events is after."""
+    stamped = project.with_processing_time(read_events(spark, folder))
+    return stamped.groupBy("device_type").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("processing_time").alias("stamps"),
+        F.count_if(F.col("timestamp") <= F.col("processing_time")).alias("earlier"),
+    )
+
+
 @query("""
 SELECT event_id, CAST(year(ts) AS INTEGER) AS year, CAST(month(ts) AS INTEGER) AS month,
        CAST(day(ts) AS INTEGER) AS day, CAST(hour(ts) AS INTEGER) AS hour FROM events
@@ -1024,6 +1095,41 @@ def v1_no_nulls(spark, folder):
     return quality.quality_report(events, [r for r in quality.contract_rules() if r.name == "not_null"])
 
 
+def _schema_sql(source: str, columns: list[tuple[str, str, str]]) -> str:
+    """Lines of name, status (or the type that is ok) and the column that is counted."""
+    lines = []
+    for name, status, counted in columns:
+        if status.isupper():
+            status = f"CASE WHEN max(typeof({counted})) = '{status}' THEN 'ok' ELSE 'mistyped' END"
+        else:
+            status = f"'{status}'"
+        lines.append(
+            f"SELECT '{name}' AS \"column\", {status} AS status, count({counted}) AS present_rows, "
+            f"count(*) AS total_rows FROM {source}"
+        )
+    return " UNION ALL ".join(lines)
+
+
+@query(_schema_sql("events", [
+    *[(c, "ok", c) for c in ("event_id", "value")],
+    *[(c, "missing", "NULL") for c in ("device_id", "device_type", "timestamp", "event_duration")],
+    *[(c, "extra", c) for c in ("ts", "user_id", "event_type", "props")],
+]))
+def v4_schema_columns(spark, folder):
+    """The given table against the names of the contract, which it has in part."""
+    return quality.schema_report(spark.read.parquet(f"{folder}/events.parquet"), sorted(REQUIRED_EVENT_COLUMNS))
+
+
+@query(f"WITH {FAULTY_SQL} " + _schema_sql("faulty", [
+    *[(c, "VARCHAR", c) for c in ("event_id", "device_id", "device_type", "status")],
+    *[(c, "DOUBLE", c) for c in ("event_duration", "value")],
+    ("timestamp", "TIMESTAMP WITH TIME ZONE", "ts"), ("metadata", "ok", "event_number"), ("event_number", "extra", "event_number"),
+]))
+def v5_event_schema(spark, folder):
+    """Faulty events against names and types of the contract; the time has no zone, which is another type."""
+    return quality.schema_report(faulty_events(spark, folder), EVENT_SCHEMA)
+
+
 @query(f"WITH {FAULTY_SQL} {_report_sql('faulty', A8_RULES_SQL[:1])}")
 def v2_non_negative(spark, folder):
     return quality.quality_report(faulty_events(spark, folder), [quality.non_negative("event_duration")])
@@ -1161,6 +1267,25 @@ def m9_batch_reports(spark, folder):
     )
 
 
+@query(f"""
+WITH {FAULTY_SQL}
+SELECT count(*) AS decoded_rows, count(*) FILTER (WHERE NOT coalesce({VALID_SQL} AND event_id IS NOT NULL, FALSE)) AS invalid_rows
+FROM faulty
+""")
+def m9_invalid_rows(spark, folder):
+    """Decoded and invalid rows that the batches of a stream report on their way."""
+    table = spark.read.parquet(f"{folder}/events.parquet")
+    source = scratch_path(spark, "faulty")
+    for number in range(SLICES):
+        arrive(table, source, slice_of(), number)
+    events = faulty_events(spark, folder, watched(spark, source, table.schema, maxFilesPerTrigger=str(FILES_OF_SLICE)))
+    out, state = scratch_path(spark, "counted"), scratch_path(spark, "counted-state")
+    stream = run_stream(project.encode_events(events), out, state, trigger=CATCH_UP)
+    stream.awaitTermination()
+    # Four batches and the last one without rows are within what a query remembers.
+    return recent_progress(stream).agg(F.sum("decoded_rows").alias("decoded_rows"), F.sum("invalid_rows").alias("invalid_rows"))
+
+
 SIZES_SQL = f"""
 count(*) AS messages, round(avg(size) + {TIE}, 6) AS mean_bytes, quantile_disc(size, 0.5) AS p50_bytes,
 quantile_disc(size, 0.95) AS p95_bytes
@@ -1250,6 +1375,39 @@ def m8_error_rates(spark, folder):
     return rates.withColumn("error_rate", _r("error_rate"))
 
 
+def _total_sql(name: str, total: str, sql: str) -> str:
+    return f"SELECT '{name}' AS report, count(*) AS \"rows\", CAST(sum({total}) AS BIGINT) AS total FROM ({sql}) AS t"
+
+
+@query(f"WITH {EVENTS_SQL} " + " UNION ALL ".join([
+    _total_sql("event_rates", "events", " UNION ALL ".join(
+        f"SELECT count(*) AS events FROM ev GROUP BY {keys}" for keys in
+        ("date_trunc('hour', ts), device_type, status", "date_trunc('hour', ts), device_type", "date_trunc('hour', ts), status", "date_trunc('hour', ts)")
+    )),
+    _total_sql("messages_per_minute", "events", "SELECT count(*) AS events FROM ev GROUP BY date_trunc('minute', ts)"),
+    _total_sql("active_devices", "n", "SELECT count(DISTINCT device_id) AS n FROM ev GROUP BY date_trunc('hour', ts)"),
+    _total_sql("message_sizes", "n", "SELECT count(*) AS n FROM ev GROUP BY date_trunc('hour', ts)"),
+    _total_sql("partition_offsets", "n", "SELECT max(event_id // 3) AS n FROM events GROUP BY event_id % 3, date_trunc('hour', ts)"),
+    _total_sql("silence_gaps", "CAST(round(gap_seconds * 1000000) AS BIGINT)", _gaps_sql(300)),
+    # No identifier of the given table is a UUID.
+    _total_sql("error_rates", "n", f"""SELECT count(*) FILTER (WHERE NOT regexp_full_match(event_id, '{CANONICAL_SQL}')) AS n
+        FROM ev GROUP BY date_trunc('hour', ts)"""),
+]))
+def q6_stream_metrics(spark, folder):
+    """All health reports of the messages: how many rows each has, and the sum of what it counts."""
+    events = read_events(spark, folder).withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    reports = stream_metrics(as_messages(events), "1 hour")
+    counted = {
+        "event_rates": "events", "messages_per_minute": "events", "active_devices": "active_devices", "message_sizes": "messages",
+        "partition_offsets": "latest_offset", "silence_gaps": "CAST(round(gap_seconds * 1000000) AS BIGINT)", "error_rates": "rejected",
+    }
+    return reduce(DataFrame.unionByName, [
+        reports[name].agg(F.count(F.lit(1)).alias("rows"), F.sum(F.expr(total)).cast("bigint").alias("total"))
+        .select(F.lit(name).alias("report"), "rows", "total")
+        for name, total in counted.items()
+    ])
+
+
 @query(f"""
 WITH {EVENTS_SQL}, {_windows_sql('minute')}
 SELECT {CALENDAR_SQL}, count(*) AS "rows", TRUE AS has_files FROM win GROUP BY ALL

@@ -42,12 +42,21 @@ def write_windows(windows: DataFrame, path: str, mode: str = "append") -> None:
     writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def _plain_path(path: str) -> str:
+    """The path without the scheme of local files, doubled slashes, single dots and a slash at the end."""
+    scheme, _, rest = path.rpartition(":/") if ":/" in path else ("", "", path)
+    rest = "/" + rest if scheme else rest
+    parts = [part for part in rest.split("/") if part not in ("", ".")]
+    return ("" if scheme in ("", "file") else f"{scheme}:") + ("/" if rest.startswith("/") else "") + "/".join(parts)
+
+
 def compact_days(spark: SparkSession, path: str, target: str, first_day: date, last_day: date) -> None:
     """Rewrite closed days of ``path`` into ``target`` with few files per hour.
 
-    Hours of ``target`` that hold other days stay as they are.
+    Hours of ``target`` that hold other days stay as they are. Neither table may lie in the other.
     """
-    if target.rstrip("/") == path.rstrip("/"):
+    source, written = (_plain_path(p) + "/" for p in (path, target))
+    if source.startswith(written) or written.startswith(source):
         raise ValueError("compact into another table: this one is read while its hours are replaced")
     write_windows(load_data(spark, path, first_day, last_day), target, mode="overwrite")
 

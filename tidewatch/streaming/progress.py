@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tidewatch.shared import scratch_path
+from tidewatch.streaming.runner import DECODED
 
 PROGRESS_SCHEMA = (
     "query string, batch_id bigint, started timestamp, batch_ms bigint, input_rows bigint, "
     "input_rows_per_second double, processed_rows_per_second double, offsets_behind bigint, "
-    "state_rows bigint, dropped_late bigint"
+    "state_rows bigint, dropped_late bigint, decoded_rows bigint, invalid_rows bigint"
 )
 
 
@@ -28,6 +29,7 @@ def progress_row(progress: Mapping) -> tuple:
         if "maxOffsetsBehindLatest" in (source.get("metrics") or {})
     ]
     durations = progress.get("durationMs") or {}
+    decoded = (progress.get("observedMetrics") or {}).get(DECODED) or {}
     return (
         progress.get("name"),
         progress["batchId"],
@@ -39,6 +41,8 @@ def progress_row(progress: Mapping) -> tuple:
         max(behind) if behind else None,
         sum(s.get("numRowsTotal", 0) for s in state),
         sum(s.get("numRowsDroppedByWatermark", 0) for s in state),
+        decoded.get("rows"),
+        decoded.get("invalid"),
     )
 
 

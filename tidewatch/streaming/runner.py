@@ -5,15 +5,18 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.operators.project import decode_events
-from tidewatch.plans.windows import events_to_windows
+from tidewatch.plans.windows import events_to_windows, is_usable_event
 from tidewatch.schema import PARTITION_COLUMNS, TRIGGER_INTERVAL, WATERMARK_DELAY, WINDOW_LENGTH
 
 LIVE = {"processingTime": TRIGGER_INTERVAL}
 CATCH_UP = {"availableNow": True}
 
+DECODED = "decoded"  # the name of the counts in a batch report
+
 
 def append_windows(
     windows: DataFrame,
@@ -45,6 +48,13 @@ def run_stream(
     trigger: Mapping[str, object] = LIVE,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Decode, validate, deduplicate, aggregate and land a stream of messages."""
-    windows = events_to_windows(decode_events(messages), length, delay)
+    """Decode, validate, deduplicate, aggregate and land a stream of messages.
+
+    Every batch report has the batch's decoded and invalid rows, observed while they pass; rows of a task that
+    a lost executor makes run again may be in there twice.
+    """
+    events = decode_events(messages).observe(
+        DECODED, F.count(F.lit(1)).alias("rows"), F.count_if(~is_usable_event()).alias("invalid")
+    )
+    windows = events_to_windows(events, length, delay)
     return append_windows(windows, path, checkpoint, trigger, name)
