@@ -8,6 +8,7 @@ import pytest
 from tests.llm.helpers import awkward, documents, empty
 from tidewatch.llm.common import table
 from tidewatch.llm.queries import LLM_QUERIES
+from tidewatch.llm import toxicity
 from tidewatch.llm.toxicity import Model, fit, score_toxicity, train, windows
 
 
@@ -67,3 +68,19 @@ def test_a_sample_that_caps_one_class_keeps_the_shares(spark):
     said = [r["toxic"] for r in rows if r["score"] >= 0.7]
     assert sum(said) > 0.6 * len(said)  # 0.4 if toxic and others count alike
     assert sum(said) > 0.6 * sum(r["toxic"] for r in rows)
+
+
+def test_the_sample_of_a_class_is_bounded_in_characters(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, totals: seen.append((rows, totals)))
+    texts = {i: "word " * (1 + i % 40) for i in range(600)}
+    docs = documents(spark, list(texts.values()))
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in texts], "doc_id long, quality int, toxic int")
+    for total in (0, 2000, 10**9):
+        train(docs, labels, sample_total=total)
+    learnable = {kind: [i for i in texts if int(i % 3 == 0) == kind and zlib.crc32(str(i).encode()) % 3 != 1] for kind in (0, 1)}
+    for (rows, totals), total in zip(seen, (0, 2000, 10**9)):
+        assert totals == {kind: len(ids) for kind, ids in learnable.items()}
+        for kind, ids in learnable.items():
+            chars = sum(len(text) for _, text, toxic in rows if toxic == kind)
+            assert chars <= total and chars >= min(total, sum(len(texts[i]) for i in ids)) - 200

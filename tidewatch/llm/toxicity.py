@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import pieces
@@ -28,6 +28,7 @@ LEVEL = 9
 ORDINARY_BYTES, TOXIC_BYTES = 32 << 10, 2 << 10
 SAMPLE_ROWS = 4000  # labelled documents of each class that a model is fitted on
 SAMPLE_CHARS = 50_000  # longer documents are left out of that sample (never out of scoring)
+SAMPLE_TOTAL = 16_000_000  # characters of each class in that sample: whole documents in the order of the same hash
 SAMPLE_WINDOWS = 30_000  # ordinary windows of that sample, by crc32, that the ordinary dictionary is trained on
 BEGINNINGS = (4, 5, 6, 7, 8, 9, 10)
 FOLDS = 3
@@ -164,10 +165,13 @@ def held_out(doc_id):
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def train(
+    docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_total: int = SAMPLE_TOTAL
+) -> Model:
     """A model from at most ``sample_rows`` labelled documents of each class, taken by a hash of the id.
 
-    Rows with a null id or label, held-out ids, and documents without text or of more than
+    Those of a class hold at most ``sample_total`` characters together: the rows in the order of that hash
+    up to this sum. Rows with a null id or label, held-out ids, and documents without text or of more than
     ``SAMPLE_CHARS`` are not learned from; the ordinary dictionary is trained on ``SAMPLE_WINDOWS`` windows. Of several labels of a document the largest counts. Documents
     of a class stand for all of that class that can be learned from, so the shares are those of the whole table.
     """
@@ -180,9 +184,12 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     for kind in (0, 1):
         part = ids.where(F.col("__toxic") == kind).orderBy(F.xxhash64("__id"), "__id").limit(sample_rows)
         chosen = part if chosen is None else chosen.unionByName(part)
-    # At most 2 x sample_rows ids are broadcast, and their texts collected.
+    # At most 2 x sample_rows ids are broadcast and ordered; of their texts 2 x sample_total characters are collected.
     sample = texts.join(F.broadcast(chosen), texts["doc_id"] == F.col("__id"))
     sample = sample.groupBy("__id").agg(F.min("text").alias("text"), F.max("__toxic").alias("toxic"))
+    so_far = Window.partitionBy("toxic").orderBy(F.xxhash64("__id"), "__id")
+    within = sample.select("__id", F.sum(F.length("text")).over(so_far).alias("__sum")).where(F.col("__sum") <= sample_total)
+    sample = sample.join(F.broadcast(within.select("__id")), "__id")
     return fit([(r["__id"], r["text"], int(r["toxic"])) for r in sample.collect()], totals)
 
 
