@@ -15,7 +15,7 @@ from tidewatch.plans.windows import events_to_windows
 from tidewatch.schema import WINDOW_SCHEMA
 from tidewatch.sources import bus, tables
 from tidewatch.streaming.progress import ProgressLog, recent_progress
-from tidewatch.streaming.runner import CATCH_UP, LIVE, run_stream
+from tidewatch.streaming.runner import CATCH_UP, HOUR_PARTS, LIVE, run_stream
 
 OUTPUT = ["window_start", "window_end", "device_type", "event_count", "avg_duration", "min_duration", "max_duration", "avg_value"]
 
@@ -179,6 +179,20 @@ def test_landed_table_passes_the_audit(spark, feed, tmp_path):
     assert os.path.isdir(f"{out}/year=2024/month=1/day=1/hour=12")
 
 
+def test_an_hour_has_few_files_at_any_shuffle_width(spark, feed, tmp_path):
+    kinds = ["light", "motion", "humidity"]
+    feed.add(*[event(f"{m}-{k}", f"12:{m:02}:10", kind=k) for m in range(60) for k in kinds], event("close", "14:00:00"))
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        _, windows = run(spark, feed, tmp_path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    assert windows.count() == 180
+    [hour] = tables.landed_hours(spark, str(tmp_path / "out")).collect()
+    assert (hour["hour"], hour["rows"]) == (12, 180) and hour["files"] <= HOUR_PARTS
+
+
 def test_audit_names_what_is_missing(spark, tmp_path):
     assert tables.landing_problems(spark, str(tmp_path / "nothing")) == [f"no Parquet table at {tmp_path / 'nothing'}"]
     spark.range(0).write.parquet(str(tmp_path / "odd"))

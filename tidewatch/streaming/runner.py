@@ -17,6 +17,8 @@ CATCH_UP = {"availableNow": True}
 
 DECODED = "decoded"  # the name of the counts in a batch report
 
+HOUR_PARTS = 4  # tasks, and so files, that share an hour in one batch
+
 
 def append_windows(
     windows: DataFrame,
@@ -25,9 +27,15 @@ def append_windows(
     trigger: Mapping[str, object] = LIVE,
     name: str | None = None,
 ) -> StreamingQuery:
-    """Start the exactly-once Parquet sink. A window is appended once, after the watermark passes it."""
+    """Start the exactly-once Parquet sink. A window is appended once, after the watermark passes it.
+
+    The rows of an hour are brought to ``HOUR_PARTS`` tasks at most: the aggregate deals its windows over all
+    shuffle partitions, each of which would write a file to every hour.
+    """
+    part = F.pmod(F.xxhash64("window_start", "device_type"), F.lit(HOUR_PARTS))
     writer = (
-        windows.writeStream.format("parquet")
+        windows.repartition(*PARTITION_COLUMNS, part)
+        .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .partitionBy(*PARTITION_COLUMNS)
