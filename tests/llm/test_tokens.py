@@ -39,6 +39,19 @@ def test_word_ids_are_those_of_whole_texts(texts):
         assert flat.tolist() == [i for e in expected for i in e]
 
 
+def test_common_words_are_learned_once(monkeypatch):
+    coder, learned = WordEncoder(TOKENIZER, known_words=40), []
+    library, plain = coder._library, coder._plain
+    monkeypatch.setattr(coder, "_library", lambda words: learned.extend(words) or library(words))
+    monkeypatch.setattr(coder, "_plain", lambda words: learned.extend(words) or plain(words))
+    for batch in range(8):
+        text = " ".join(["Common,", "x9y", *[f"w{batch}q{i}" for i in range(25)]])
+        flat, _ = coder.encode(pa.array([text, "", None], pa.string()))
+        assert flat.tolist() == ids_of(text, 0)[:-1]
+        assert len(coder.known) + len(coder.older) <= 2 * (20 + 30)
+    assert (learned.count("common"), learned.count("x9y")) == (1, 1)
+
+
 def test_codes_round_trip_and_random_access():
     rng = np.random.default_rng(5)
     for n in (0, 1, 7, 8, 9, 511, 512, 513, 4095, 20_000):

@@ -29,8 +29,9 @@ class WordEncoder:
 
     Such a tokenizer drops white space before its merges, so the ids of a text are the ids of its
     words one after another. Each distinct word of a batch is looked up once; unknown words go to
-    the library. The memory of known words is bounded by ``known_words`` and is emptied when full,
-    which changes the time only.
+    the library. Known words are held in two halves of ``known_words`` (each full half and what one batch
+    adds): when the newer is full it becomes the older, and words that are met again move to the new one, so
+    the common words are never learned twice. This changes the time only.
     """
 
     def __init__(self, path: str, known_words: int = 600_000):
@@ -40,6 +41,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known_words = known_words
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             suffix = json.load(file)["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab()
@@ -66,33 +68,42 @@ class WordEncoder:
         return flat[ragged(starts[codes], per_word)], np.diff(before[bounds])
 
     def _lookup(self, words: list[str]) -> list[bytes]:
-        found = list(map(self.known.get, words))
-        missing = [i for i, ids in enumerate(found) if ids is None]
+        if 2 * len(self.known) >= self.known_words:
+            self.older, self.known = self.known, {}
+        known, older, missing = self.known, self.older, []
+        found = list(map(known.get, words))
+        for i, ids in enumerate(found):
+            if ids is None:
+                again = older.get(words[i])
+                if again is None:
+                    missing.append(i)
+                else:
+                    found[i] = known[words[i]] = again
         for i, ids in zip(missing, self._learn([words[i] for i in missing])):
             found[i] = ids
         return found
 
     def _learn(self, words: list[str]) -> list[bytes]:
-        if len(self.known) + len(words) > self.known_words:
-            self.known = {}
-        known, plain, other, parts = self.known, {}, [], []
+        known, older, plain, other, formed = self.known, self.older, {}, [], []
         for word in words:
-            match = LETTERS.fullmatch(word) if self.letters_apart else None
-            if match is None:
+            base, tail = (word[:-1], word[-1]) if word and word[-1] in TAILS else (word, "")
+            if not (self.letters_apart and (base.isascii() and base.isalpha() or LETTERS.fullmatch(word))):
                 other.append(word)
-                parts.append(None)
-            else:
-                base, tail = match[1].lower(), match[2]
-                if base not in known:
+                continue
+            base = base.lower()
+            if base not in known:
+                if base in older:
+                    known[base] = older[base]
+                else:
                     plain[base] = None
-                if tail and tail not in known:
-                    known[tail] = self._library([tail])[0]
-                parts.append((base, tail))
+            if tail and tail not in known:
+                known[tail] = self._library([tail])[0]
+            if tail or base != word:
+                formed.append((word, base, tail))
         known.update(zip(plain, self._plain(list(plain))))
         known.update(zip(other, self._library(other)))
-        for word, part in zip(words, parts):
-            if part is not None and (part[1] or part[0] != word):
-                known[word] = known[part[0]] + known[part[1]] if part[1] else known[part[0]]
+        for word, base, tail in formed:
+            known[word] = known[base] + known[tail] if tail else known[base]
         return [known[word] for word in words]
 
     def _library(self, words: list[str]) -> list[bytes]:
