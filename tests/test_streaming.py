@@ -5,10 +5,12 @@ from __future__ import annotations
 import json
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import at, rows_of
+from tidewatch import registry
 from tidewatch.operators.dedup import dedup_events
 from tidewatch.operators.project import decode_events
 from tidewatch.plans.windows import events_to_windows
@@ -193,6 +195,15 @@ def test_an_hour_has_few_files_at_any_shuffle_width(spark, feed, tmp_path):
     assert (hour["hour"], hour["rows"]) == (12, 180) and hour["files"] <= HOUR_PARTS
 
 
+def test_arrived_files_can_be_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "ARRIVED_GROUP_BYTES", 1 << 17)
+    rows = spark.range(200_000).select(F.col("id").alias("event_id"), F.rand(1).alias("value"))
+    registry.arrive(rows.withColumn("ts", F.lit(at("12:00:00"))), str(tmp_path / "in"), registry.slice_of(), 0)
+    files = [pq.ParquetFile(path).metadata for path in (tmp_path / "in").glob("*.parquet")]
+    assert [f.num_rows for f in files] == [50_000] * registry.FILES_OF_SLICE
+    assert all(f.num_row_groups > 3 for f in files)
+
+
 def test_audit_names_what_is_missing(spark, tmp_path):
     assert tables.landing_problems(spark, str(tmp_path / "nothing")) == [f"no Parquet table at {tmp_path / 'nothing'}"]
     spark.range(0).write.parquet(str(tmp_path / "odd"))

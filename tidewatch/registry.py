@@ -179,12 +179,15 @@ def landed_windows(spark: SparkSession, folder: str) -> str:
 
 # Events arrive in four slices of the month, by the day; a slice is as many files, so a batch can be a slice.
 SLICES, FILES_OF_SLICE = 4, 4
+# Row groups of arrived files, so that a batch of few large files is read by many tasks.
+ARRIVED_GROUP_BYTES = 4 << 20
 SLICE_SQL = "CAST(floor((day(ts) - 1) / 8) AS INTEGER)"
 
 
 def arrive(table: DataFrame, path: str, slice_of: Column, number: int) -> None:
     """Append the rows of one slice to the folder that a stream watches."""
-    table.where(slice_of == number).repartition(FILES_OF_SLICE).write.mode("append").parquet(path)
+    rows = table.where(slice_of == number).repartition(FILES_OF_SLICE)
+    rows.write.mode("append").option("parquet.block.size", str(ARRIVED_GROUP_BYTES)).parquet(path)
 
 
 def slice_of(time: str = "ts") -> Column:
