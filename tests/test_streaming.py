@@ -195,6 +195,23 @@ def test_an_hour_has_few_files_at_any_shuffle_width(spark, feed, tmp_path):
     assert (hour["hour"], hour["rows"]) == (12, 180) and hour["files"] <= HOUR_PARTS
 
 
+@pytest.mark.parametrize("parts", [1, 3])
+def test_a_long_catch_up_has_one_file_an_hour_unless_told(spark, feed, tmp_path, parts):
+    kinds = ["light", "motion", "humidity"]
+    feed.add(*[event(f"{h}-{m}-{k}", f"{h}:{m}:10", kind=k) for h in range(10, 16) for m in range(10, 60) for k in kinds],
+             event("close", "18:00:00"))
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "12")
+    try:
+        _, windows = run(spark, feed, tmp_path, **({} if parts == 1 else {"hour_parts": parts}))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    assert windows.count() == windows.select("window_start", "device_type").distinct().count() == 6 * 50 * 3
+    hours = {r["hour"]: r["files"] for r in tables.landed_hours(spark, str(tmp_path / "out")).collect()}
+    assert sorted(hours) == list(range(10, 16))
+    assert max(hours.values()) == 1 if parts == 1 else 1 < max(hours.values()) <= parts
+
+
 def test_arrived_files_can_be_read_by_many_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(registry, "ARRIVED_GROUP_BYTES", 1 << 17)
     rows = spark.range(200_000).select(F.col("id").alias("event_id"), F.rand(1).alias("value"))

@@ -17,7 +17,7 @@ CATCH_UP = {"availableNow": True}
 
 DECODED = "decoded"  # the name of the counts in a batch report
 
-HOUR_PARTS = 4  # tasks, and so files, that share an hour in one batch
+HOUR_PARTS = 1  # tasks, and so files, that share an hour in one batch
 
 
 def append_windows(
@@ -26,13 +26,15 @@ def append_windows(
     checkpoint: str,
     trigger: Mapping[str, object] = LIVE,
     name: str | None = None,
+    hour_parts: int = HOUR_PARTS,
 ) -> StreamingQuery:
     """Start the exactly-once Parquet sink. A window is appended once, after the watermark passes it.
 
-    The rows of an hour are brought to ``HOUR_PARTS`` tasks at most: the aggregate deals its windows over all
-    shuffle partitions, each of which would write a file to every hour.
+    The rows of an hour are brought to ``hour_parts`` tasks at most: the aggregate deals its windows over all
+    shuffle partitions, each of which would write a file to every hour. An hour has one row per window and device
+    type, and the hours of a batch are written side by side; more parts are for so many types that an hour is large.
     """
-    part = F.pmod(F.xxhash64("window_start", "device_type"), F.lit(HOUR_PARTS))
+    part = F.pmod(F.xxhash64("window_start", "device_type"), F.lit(hour_parts))
     writer = (
         windows.repartition(*PARTITION_COLUMNS, part)
         .writeStream.format("parquet")
@@ -55,6 +57,7 @@ def run_stream(
     delay: str = WATERMARK_DELAY,
     trigger: Mapping[str, object] = LIVE,
     name: str | None = None,
+    hour_parts: int = HOUR_PARTS,
 ) -> StreamingQuery:
     """Decode, validate, deduplicate, aggregate and land a stream of messages.
 
@@ -65,4 +68,4 @@ def run_stream(
         DECODED, F.count(F.lit(1)).alias("rows"), F.count_if(~is_usable_event()).alias("invalid")
     )
     windows = events_to_windows(events, length, delay)
-    return append_windows(windows, path, checkpoint, trigger, name)
+    return append_windows(windows, path, checkpoint, trigger, name, hour_parts)
