@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import table
+from tidewatch.llm.common import bound_batches, table
 from tidewatch.llm.line_dedup import dedup_lines
 from tidewatch.llm.mixing import mixed_documents
 from tidewatch.llm.packing import pack_documents
@@ -24,6 +24,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression-distance classifier doesn't call toxic, unchanged."""
+    bound_batches(spark)
     docs = docs.select(COLUMNS)
     model = train(docs, table(spark, sf_dir, "labels"))
     return score_toxicity(docs, model).where(F.col("score") < THRESHOLD).select(COLUMNS)
@@ -31,12 +32,14 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that five or more of them share (but for the one that keeps them)."""
+    bound_batches(spark)
     kept = dedup_lines(docs.select(COLUMNS)).withColumn("n_chars", F.length("text").cast("long"))
     return kept.select(COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of SimHash near-duplicates (three words, two bits): that with the smallest id."""
+    bound_batches(spark)
     return without_near_duplicates(docs.select(COLUMNS), words=3, radius=2).select(COLUMNS)
 
 
@@ -47,6 +50,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of token sequences of at most 4096 tokens."""
+    bound_batches(spark)
     return pack_documents(docs, TOKENIZER, end_id=2, size=4096)
 
 

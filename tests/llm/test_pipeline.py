@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import pyarrow as pa
+
 import corpus_pipeline
 from corpus_pipeline import COLUMNS, STAGES, run
 from tests.conftest import CHECK_FOLDER
@@ -12,7 +14,7 @@ from tests.llm.test_line_dedup import brute as lines_of
 from tests.llm.test_mixing import targets
 from tests.llm.test_simhash import single as one_of_each
 from tests.llm.test_tokens import packed
-from tidewatch.llm.common import table
+from tidewatch.llm.common import BATCH_BYTES, table
 from tidewatch.llm.mixing import WORD
 from tidewatch.llm.toxicity import train
 import re
@@ -26,6 +28,10 @@ def stages(spark, docs, folder, tmp_path):
     return out
 
 
+def size_of(batch):
+    return pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["size"])
+
+
 def pairs(df):
     return [(r["doc_id"], r["text"]) for r in df.collect()]
 
@@ -67,6 +73,17 @@ def test_stages(spark, tmp_path):
     )
 
 
+def test_texts_reach_python_in_small_batches(spark):
+    docs = spark.range(0, 6000, 1, 1).selectExpr(
+        "id AS doc_id", "repeat(concat('w', id, ' '), 1000) AS text", "'en' AS lang", "'s' AS source", "6000L AS n_chars"
+    )
+    for stage in (corpus_pipeline.drop_near_copies, corpus_pipeline.pack):
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        stage(spark, docs.limit(1), CHECK_FOLDER)
+        sizes = docs.select("text").mapInArrow(lambda bs: (size_of(b) for b in bs), "size long").collect()
+        assert len(sizes) > 1 and max(r["size"] for r in sizes) < 2 * BATCH_BYTES
+
+
 def test_awkward_rows(spark, tmp_path):
     docs = awkward(spark)
     stages(spark, docs, CHECK_FOLDER, tmp_path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -52,6 +53,18 @@ def test_common_words_are_learned_once(monkeypatch):
     assert (learned.count("common"), learned.count("x9y")) == (1, 1)
 
 
+def test_encoding_takes_little_more_than_its_ids():
+    coder, words = WordEncoder(TOKENIZER), 1_000_000
+    coder.encode(pa.array(["a b"]))
+    texts = pa.array(["a b " * (words // 2)])
+    tracemalloc.start()
+    flat, counts = coder.encode(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert counts.tolist() == [words] and flat.tolist() == ids_of("a b", 0)[:-1] * (words // 2)
+    assert peak < 7 * flat.nbytes
+
+
 def test_codes_round_trip_and_random_access():
     rng = np.random.default_rng(5)
     for n in (0, 1, 7, 8, 9, 511, 512, 513, 4095, 20_000):
@@ -128,6 +141,14 @@ def test_level_has_the_smallest_sum_of_squares():
         list(packer.put(Piece(i, length, 0, np.zeros(length, np.uint32))))
 
 
+def test_an_open_window_holds_no_more_than_its_pieces():
+    packer = Packer(4096)
+    assert sum(len(p.ids) for w in packer.put(Piece(1, 100_000, 0, np.arange(100_000, dtype="<u4"))) for p in w) == 98_304
+    (tail,), = [w for windows in packer.windows.values() for w in windows]
+    assert (tail.start, tail.ids.tolist()) == (98_304, list(range(98_304, 100_000)))
+    assert tail.ids.base is None
+
+
 def test_open_windows_are_bounded():
     packer, seen = Packer(100, max_open=8), 0
     for i in range(500):

@@ -12,12 +12,19 @@ from pyspark.sql import functions as F
 
 # Bytes of text that a task handles at once; a single longer text is handled alone.
 PIECE_BYTES = 8 << 20
+# Bytes of one Arrow batch between Spark and a Python worker; both hold more than one at a time.
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Batches of whole texts by ``BATCH_BYTES`` in this session from now on; Spark's own limit is 64 MB."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in the same order, in batches of about ``limit`` bytes of ``column`` at most."""
     for batch in batches:

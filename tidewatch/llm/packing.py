@@ -14,6 +14,7 @@ from tidewatch.llm.common import pieces
 from tidewatch.llm.tokens import encoder, with_end
 
 MAX_OPEN = 1024  # partially filled windows of a task; more are poured together
+TEXT_BYTES = 2 << 20  # of text that are encoded together; what this takes in memory is several times as much
 
 PIECE_SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -64,6 +65,9 @@ class Packer:
         while len(piece.ids) >= self.size:
             full, piece = piece.cut(self.size)
             yield [full]
+            if len(piece.ids) < self.size:
+                # Copied, so that an open window doesn't hold the whole document.
+                piece.ids = piece.ids.copy()
         if len(piece.ids):
             level = self.level_for(len(piece.ids))
             window = self.windows[level].pop() if level else []
@@ -156,7 +160,7 @@ def pack_documents(
             rows.clear()
             return pa.RecordBatch.from_arrays(columns, names)
 
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, "text", TEXT_BYTES):
             flat, counts = with_end(*coder.encode(batch.column("text")), end_id)
             ends = np.cumsum(counts)
             for doc_id, n, end in zip(batch.column("doc_id").to_pylist(), counts.tolist(), ends.tolist()):

@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 # A word of letters that have one form each in Unicode, with one mark after it at most.
 LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?]?)")
 TAILS = ",.;:!?"
+GATHERED_WORDS = 1 << 16
 
 _ENCODERS: dict[tuple[str, int], WordEncoder] = {}
 
@@ -58,14 +59,20 @@ class WordEncoder:
         words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         bounds = words.offsets.to_numpy()
         coded = words.flatten().dictionary_encode()
+        del words
         codes = coded.indices.to_numpy()
         ids_of = self._lookup(coded.dictionary.to_pylist())
         flat = np.frombuffer(b"".join(ids_of), dtype="<u4")
         lengths = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) // 4
         starts = np.cumsum(lengths) - lengths
-        per_word = lengths[codes]
-        before = np.concatenate([[0], np.cumsum(per_word)])
-        return flat[ragged(starts[codes], per_word)], np.diff(before[bounds])
+        before = np.zeros(len(codes) + 1, np.int64)
+        np.cumsum(lengths[codes], out=before[1:])
+        ids = np.empty(before[-1], "<u4")
+        # Positions take several times the room of the ids, so they are made for a part of the words at a time.
+        for first in range(0, len(codes), GATHERED_WORDS):
+            part = codes[first : first + GATHERED_WORDS]
+            ids[before[first] : before[first + len(part)]] = flat[ragged(starts[part], lengths[part])]
+        return ids, np.diff(before[bounds])
 
     def _lookup(self, words: list[str]) -> list[bytes]:
         if 2 * len(self.known) >= self.known_words:
