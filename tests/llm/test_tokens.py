@@ -20,7 +20,7 @@ from tidewatch.llm.common import table
 from tidewatch.llm.packing import Packer, Piece, pack_documents
 from tidewatch.llm.queries import LLM_QUERIES, TOKENIZER
 from tidewatch.llm.token_file import Codes, document_digests, encode_codes, read_token_file, tokens_at, write_token_file
-from tidewatch.llm.tokens import WordEncoder
+from tidewatch.llm.tokens import WordEncoder, encoder
 
 LIBRARY = Tokenizer.from_file(TOKENIZER)
 
@@ -40,6 +40,25 @@ def test_word_ids_are_those_of_whole_texts(texts):
         assert flat.tolist() == [i for e in expected for i in e]
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.text(alphabet="abShHKÉßÀ×÷Σςİſé̱́̇ \t,.;:!?'\"&<|>3_—", max_size=20), max_size=4))
+def test_marks_and_capitals_give_the_ids_of_whole_texts(texts):
+    coder = encoder(TOKENIZER)
+    assert coder.letters_whole
+    special = ["<|ENDOFTEXT|>, <|endoftext|>.", "H\u0331, J\u030c. don'T, X&&& É!! É, ×, a\u00e9; À"]
+    flat, counts = coder.encode(pa.array(texts + special, pa.string()))
+    expected = [ids_of(t, 0)[:-1] for t in texts + special]
+    assert counts.tolist() == [len(e) for e in expected]
+    assert flat.tolist() == [i for e in expected for i in e]
+
+
+def test_a_word_is_remembered_without_its_mark_and_capitals():
+    coder = WordEncoder(TOKENIZER)
+    flat, _ = coder.encode(pa.array(["Word, wORD. word! WORD? word: word;", "Word"]))
+    assert flat.tolist() == ids_of("Word, wORD. word! WORD? word: word; Word", 0)[:-1]
+    assert list(coder.known) == ["word"]
+
+
 def test_common_words_are_learned_once(monkeypatch):
     coder, learned = WordEncoder(TOKENIZER, known_words=40), []
     library, plain = coder._library, coder._plain

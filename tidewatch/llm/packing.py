@@ -52,13 +52,16 @@ class Packer:
 
     def level_for(self, length: int) -> int:
         size, counts = self.size, self.counts
-        into = 2 * counts[length:size] + 1  # a window more at the new level, by the old level
-        into = np.append(into, 0)  # a full window is not counted
-        cost = into[: size - length + 1].copy()
-        out = counts[: size - length + 1]
-        cost[1:] -= 2 * out[1:] - 1  # a window less at the old level
-        cost[1:][out[1:] == 0] = np.iinfo(np.int64).max
-        return len(cost) - 1 - int(np.argmin(cost[::-1]))
+        levels = np.flatnonzero(counts[: size - length + 1])
+        fresh = 2 * counts[length] + 1  # a window more at the new level, none less
+        if len(levels) == 0:
+            return 0
+        # A window more at the new level, a window less at the old one.
+        cost = 2 * (counts[levels + length] - counts[levels]) + 2
+        if levels[-1] == size - length:
+            cost[-1] -= 1  # a full window is not counted
+        best = len(cost) - 1 - int(np.argmin(cost[::-1]))
+        return int(levels[best]) if cost[best] <= fresh else 0
 
     def put(self, piece: Piece) -> Iterator[list[Piece]]:
         """Place one piece; yields the windows that are finished by it."""
