@@ -7,13 +7,15 @@ import random
 from collections import Counter
 
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import sentencepiece
 from tokenizers import Tokenizer
 
 from tests.conftest import CHECK_FOLDER
 from tests.llm.helpers import awkward, documents, empty
 from tidewatch.llm import alignment
-from tidewatch.llm.alignment import Aligner, align_documents, alignment_digest
+from tidewatch.llm.alignment import Aligner, align_documents, alignment_digest, chunk_row
 from tidewatch.llm.common import table
 from tidewatch.llm.queries import LLM_QUERIES
 
@@ -150,3 +152,36 @@ def test_check_table(spark):
     got = LLM_QUERIES["op11_alignment"](spark, CHECK_FOLDER)
     assert got.columns == COLUMNS
     assert result(got) == plain(pairs(table(spark, CHECK_FOLDER, "documents")))
+
+
+def test_a_chunk_is_smaller_than_its_text():
+    """Executors hold, sort and send chunks, so their size counts, not only that of what the aligner remembers."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("aeioulnrst", k=rng.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    row = chunk_row(Aligner(A, B), 0, batch)
+    assert row.num_rows == 1 and row.nbytes < sum(map(len, texts)) / 2
+
+
+def test_chunks_lie_in_row_groups_by_size(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(alignment, "CHUNK_BYTES", 200)
+    monkeypatch.setitem(alignment.ROW_GROUPS, "parquet.block.size", 4096)
+    monkeypatch.setattr(alignment, "scratch_path", lambda *_: str(tmp_path / "aligned"))
+    docs = documents(spark, [f"{text} text {k} of it" for k in range(4) for text in ODD])
+    assert result(alignment_digest(docs, A, B)) == plain(pairs(docs))
+    files = [pq.ParquetFile(f).metadata for f in (tmp_path / "aligned").glob("*.parquet")]
+    assert sum(f.num_rows for f in files) > 3 and all(f.num_row_groups > 1 for f in files if f.num_rows > 8)
+
+
+def test_segments_asked_for_again_are_remembered(monkeypatch):
+    monkeypatch.setattr(alignment, "KNOWN_SEGMENTS", 20)
+    both, encoded = Aligner(A, B), []
+    whole = both.align_together
+    monkeypatch.setattr(both, "align_together", lambda words: (encoded.extend(words), whole(words)))
+    for k in range(10):
+        segments = [f"word{k}x{i}" for i in range(15)] + ["often"] * (k % 2)
+        both.learn(segments)
+        assert all(s in both.known for s in segments)
+        assert len(both.known) + len(both.before) <= 2 * (20 + 16)
+    assert encoded.count("often") == 1 and len(encoded) == 151

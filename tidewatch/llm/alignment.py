@@ -18,7 +18,6 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import pieces
+from tidewatch.llm.common import bound_batches, pieces
 from tidewatch.shared import durable, scratch_path
 
 SEGMENT = re.compile(r"(?<=\S) (?=\S)")
@@ -35,9 +34,11 @@ TWO_BLANKS = re.compile(r"\s\s")
 # Segments that are encoded as one text.
 TOGETHER = 4096
 # Bytes of text in a chunk; a longer text is a chunk of its own.
-CHUNK_BYTES = 4 << 20
-# Aligned segments that a worker remembers beside those of its chunk; forgetting them changes the time only.
-KNOWN_SEGMENTS = 200_000
+CHUNK_BYTES = 2 << 20
+# Aligned segments that a worker remembers twice over, new and asked for before; forgetting them changes the time only.
+KNOWN_SEGMENTS = 100_000
+# A writer or reader of chunks holds a row group, so that is bounded whatever the rows of a file; by default sizes are looked at every 100 rows.
+ROW_GROUPS = {"parquet.block.size": 8 << 20, "parquet.block.size.row.check.min": 1, "parquet.block.size.row.check.max": 4, "parquet.page.size.row.check.min": 1}
 
 _ALIGNERS: dict[tuple[str, str, int], Aligner] = {}
 
@@ -71,6 +72,7 @@ class Aligner:
         self.lengths_a, self.lengths_b = (np.array([len(t) for t in side], np.int64) for side in (self.bytes_a, self.bytes_b))
         self.decimal = pa.array([str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))], pa.binary())
         self.known: dict[str, tuple[bytes, int, int, int, bytes] | None] = {}
+        self.before: dict[str, tuple[bytes, int, int, int, bytes] | None] = {}
 
     def segments(self, text: str) -> list[str]:
         """The text cut at single spaces, each without the space before it (which both tokenizers get again)."""
@@ -85,8 +87,12 @@ class Aligner:
     def learn(self, segments: list[str]) -> None:
         """Align the segments that are not known yet; None stands for one that a tokenizer doesn't keep byte for byte."""
         if len(self.known) > KNOWN_SEGMENTS:
-            self.known = {s: self.known[s] for s in segments if s in self.known}
+            # What nobody asked for since the last time is forgotten; what is asked for again comes back from ``before``.
+            self.before, self.known = self.known, {}
         missing = [s for s in dict.fromkeys(segments) if s not in self.known]
+        if self.before:
+            self.known.update((s, self.before.pop(s)) for s in missing if s in self.before)
+            missing = [s for s in missing if s not in self.known]
         words = [s for s in missing if not (s[0].isspace() or s[-1].isspace())] if self.cuts_at_spaces else []
         for start in range(0, len(words), TOGETHER):
             self.align_together(words[start : start + TOGETHER])
@@ -229,8 +235,8 @@ CHUNK = {
     # A chunk, its documents and their figures.
     "chunk": "long", "doc_id": "array<long>", "n_a": "array<long>", "n_b": "array<long>", "n_groups": "array<long>",
     "n_links": "array<long>", "groups_sha256": "array<string>",
-    # Distinct segments of every document with their counts, and the places of each segment's links in ``pair``.
-    "n_segments": "array<int>", "segment": "array<int>", "times": "array<int>", "n_of_segment": "array<int>", "place": "array<int>",
+    # How many distinct pairs every document has, and their places in ``pair`` and numbers of links (see :func:`packed`).
+    "n_cells": "array<long>", "cells": "binary",
     # Distinct pairs of the chunk in order, and how many links hold each.
     "pair": "array<long>", "held": "array<long>",
 }
@@ -250,48 +256,65 @@ def aligned_chunks(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return texts.mapInArrow(read, ", ".join(f"{c} {kind}" for c, kind in CHUNK.items()))
 
 
+def packed(place: np.ndarray, times: np.ndarray) -> bytes:
+    """Places, each as the step from the one before, and numbers of links; places rise within a document, so both are small."""
+    return pa.compress(np.concatenate([np.diff(place, prepend=0), times]).astype(np.int32).tobytes(), "zstd", asbytes=True)
+
+
+def unpacked(cells: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    found = np.frombuffer(pa.decompress(cells, 8 * n, "zstd", asbytes=True), np.int32).astype(np.int64)
+    return np.cumsum(found[:n]), found[n:]
+
+
 def chunk_row(both: Aligner, chunk: int, batch: pa.RecordBatch) -> pa.RecordBatch:
-    cut = [both.segments(text or "") for text in batch.column("text").to_pylist()]
-    distinct = list(dict.fromkeys(chain.from_iterable(cut)))
-    both.learn(distinct)
-    place_of = {s: k for k, s in enumerate(distinct)}
-    aligned = [both.known[s] for s in distinct]
-    owners, sha, plain = [], [], []
-    for segments in cut:
-        places = [place_of[s] for s in segments]
-        strings = [aligned[k] for k in places]
+    place_of: dict[str, int] = {}
+    cut = []
+    for text in batch.column("text").to_pylist():
+        segments = both.segments(text or "")
+        cut.append(np.fromiter((place_of.setdefault(s, len(place_of)) for s in segments), np.int32, len(segments)))
+    both.learn(list(place_of))
+    aligned = [both.known[s] for s in place_of]
+    del place_of
+    sha = []
+    for k, places in enumerate(cut):
+        strings = [aligned[i] for i in places.tolist()]
         if not strings or None in strings:
             sha.append("")
-            plain.append(np.zeros(0, np.int64))
+            cut[k] = places[:0]
         else:
             sha.append(hashlib.sha256(b";".join([s[0] for s in strings])).hexdigest())
-            plain.append(np.array(places, np.int64))
-        owners.append(len(plain[-1]))
-    n_docs, n_segments = batch.num_rows, max(1, len(aligned))
+    n_docs = batch.num_rows
     figures = np.array([(0, 0, 0, 0) if x is None else (x[1], x[2], x[3], len(x[4]) // 8) for x in aligned], np.int64).reshape(-1, 4)
-    owner = np.repeat(np.arange(n_docs), owners)
-    cells, times = np.unique(owner * n_segments + (np.concatenate(plain) if plain else owner), return_counts=True)
-    owner, segment = np.divmod(cells, n_segments)
-    sums = [np.bincount(owner, figures[segment, k] * times, n_docs).astype(np.int64) for k in range(4)]
     links = np.frombuffer(b"".join(b"" if x is None else x[4] for x in aligned), np.int64)
-    pair, place = np.unique(links, return_inverse=True)
-    # Only segments of texts that count: one text can spoil a segment's neighbours.
-    used = np.bincount(segment, times, len(aligned)).astype(np.int64)
-    held = np.bincount(place, np.repeat(used, figures[:, 3]), len(pair)).astype(np.int64)
+    del aligned
+    segment = np.concatenate(cut)
+    owner = np.repeat(np.arange(n_docs), [len(places) for places in cut])
+    sums = [np.bincount(owner, figures[segment, k], n_docs).astype(np.int64) for k in range(4)]
+    # The links of every segment of every text that counts: one text can spoil a segment's neighbours.
+    counts, ends = figures[segment, 3], np.cumsum(figures[:, 3])
+    at = np.arange(counts.sum()) + np.repeat(ends[segment] - figures[segment, 3] - (np.cumsum(counts) - counts), counts)
+    used = np.zeros(len(links), bool)
+    used[at] = True
+    pair = np.unique(links[used])
+    place = np.searchsorted(pair, links)[at]
+    n_pairs = max(1, len(pair))
+    cells, times = np.unique(np.repeat(owner, counts) * n_pairs + place, return_counts=True)
+    owner, place = np.divmod(cells, n_pairs)
     columns = {
-        "chunk": chunk, "doc_id": batch.column("doc_id"), "n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "n_links": sums[3],
-        "groups_sha256": pa.array(sha, pa.string()), "n_segments": np.bincount(owner, minlength=n_docs), "segment": segment, "times": times,
-        "n_of_segment": figures[:, 3], "place": place, "pair": pair, "held": held,
+        "doc_id": batch.column("doc_id"), "n_a": sums[0], "n_b": sums[1], "n_groups": sums[2], "n_links": sums[3],
+        "groups_sha256": pa.array(sha, pa.string()), "n_cells": np.bincount(owner, minlength=n_docs),
+        "pair": pair, "held": np.bincount(place, times, len(pair)).astype(np.int64),
     }
     arrays = []
-    for name, kind in CHUNK.items():
+    for name in CHUNK:
         if name == "chunk":
             arrays.append(pa.array([chunk], pa.int64()))
-            continue
-        value = columns[name]
-        if isinstance(value, np.ndarray):
-            value = pa.array(value.astype(np.int32 if "int>" in kind else np.int64))
-        arrays.append(pa.ListArray.from_arrays(pa.array([0, len(value)], pa.int32()), value))
+        elif name == "cells":
+            arrays.append(pa.array([packed(place, times)], pa.binary()))
+        else:
+            value = columns[name]
+            value = pa.array(value.astype(np.int64)) if isinstance(value, np.ndarray) else value
+            arrays.append(pa.ListArray.from_arrays(pa.array([0, len(value)], pa.int32()), value))
     return pa.RecordBatch.from_arrays(arrays, list(CHUNK))
 
 
@@ -305,10 +328,11 @@ def alignment_digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "aligned")
-    aligned_chunks(docs, path_a, path_b).write.option("compression", "zstd").parquet(path)
+    bound_batches(spark)
+    aligned_chunks(docs, path_a, path_b).write.options(compression="zstd", **ROW_GROUPS).parquet(path)
     chunks = spark.read.parquet(path)
     asked = chunks.select(F.col("chunk").alias("by"), F.explode(F.arrays_zip("pair", "held")).alias("of"))
-    asked = asked.select("by", "of.pair", "of.held").where("held > 0")
+    asked = asked.select("by", "of.pair", "of.held")
     counts = durable(asked.groupBy("pair").agg(F.sum("held").alias("total")))
     id_b = F.col("pair").bitwiseAND(F.lit(0xFFFFFFFF))
     # A row per B id at most, so this side is bounded by the vocabulary.
@@ -317,27 +341,22 @@ def alignment_digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     answers = asked.select("by", "pair").join(known, "pair")
 
     def finish(key, of_chunk: pa.Table, found: pa.Table) -> pa.Table:
-        row = {c: of_chunk[c].combine_chunks() for c in of_chunk.column_names}
-        flat = {c: v.flatten() for c, v in row.items() if c != "chunk"}
-        numbers = {c: v.to_numpy(zero_copy_only=False) for c, v in flat.items() if c not in ("doc_id", "groups_sha256")}
-        n_docs = len(flat["doc_id"])
+        flat = {c: of_chunk[c].combine_chunks().flatten() for c in CHUNK if c not in ("chunk", "cells")}
+        numbers = {c: flat[c].to_numpy(zero_copy_only=False) for c in ("n_cells", "pair")}
+        n_docs, ends = len(flat["doc_id"]), np.cumsum(numbers["n_cells"])
+        place, times = unpacked(of_chunk["cells"][0].as_py(), int(ends[-1]) if n_docs else 0)
         total, best = np.zeros(len(numbers["pair"]), np.int64), np.zeros(len(numbers["pair"]), np.int64)
         at = np.searchsorted(numbers["pair"], found["pair"].to_numpy())
         total[at] = found["total"].to_numpy()
         best[at] = found["best"].to_numpy().astype(np.int64)
 
         def per_document(values: np.ndarray) -> np.ndarray:
-            sums = np.concatenate([[0], np.cumsum(values[numbers["place"]])])
-            ends = np.cumsum(numbers["n_of_segment"].astype(np.int64))
-            of_segment = sums[ends] - sums[ends - numbers["n_of_segment"]] if len(ends) else ends
-            each = np.concatenate([[0], np.cumsum(of_segment[numbers["segment"]] * numbers["times"])])
-            ends = np.cumsum(numbers["n_segments"].astype(np.int64))
-            return each[ends] - each[ends - numbers["n_segments"]]
+            each = np.concatenate([[0], np.cumsum(values[place] * times)])
+            return each[ends] - each[ends - numbers["n_cells"]]
 
         return pa.table({
             "doc_id": flat["doc_id"], **{c: flat[c] for c in ("n_a", "n_b", "n_groups", "n_links")},
-            "n_best": per_document(best) if n_docs else np.zeros(0, np.int64),
-            "count_sum": per_document(total) if n_docs else np.zeros(0, np.int64), "groups_sha256": flat["groups_sha256"],
+            "n_best": per_document(best), "count_sum": per_document(total), "groups_sha256": flat["groups_sha256"],
         })
 
     schema = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
